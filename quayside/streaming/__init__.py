@@ -1,0 +1,6 @@
+"""Structured Streaming.
+
+The two jobs this library re-implements are batch jobs: they have no stream
+source, watermark, event-time window or stateful operator, so nothing is
+built here (see README, "Not built").
+"""
