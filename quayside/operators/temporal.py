@@ -13,6 +13,8 @@ from .joins import broadcast_if_small, expand_days
 
 # A calendar has ~366 rows per year; far above any real span, far below memory limits.
 CALENDAR_BROADCAST_ROWS = 400_000
+# (stock day, week) rows of the horizon: ~9 per distinct day of the stock.
+HORIZON_BROADCAST_ROWS = 4_000_000
 
 
 def fiscal_labels(calendar: DataFrame, out_col: str = "MARS_WEEK_FOR_DEMAND") -> DataFrame:
@@ -58,29 +60,45 @@ def latest_stock(stock: DataFrame) -> DataFrame:
                           tie_break=[F.col("FREE_STOCK").desc(), F.col("TMS").desc()])
 
 
-def project_demand(stock_latest: DataFrame, forecast: DataFrame, calendar: DataFrame, horizon: int = 56,
+def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, horizon: int = 56,
                    divisor: int = 56, days_per_week: int = 7) -> DataFrame:
     """Average daily demand over the horizon for each latest stock row.
 
+    ``stock`` holds the stock snapshots; the latest one per (warehouse,
+    material) is taken here (``latest_stock``).
+
     For every stock row and every calendar day in ``[DAY, DAY + horizon]``
     (inclusive: ``horizon + 1`` days) the weekly forecast of that day's
     fiscal week, of every forecast version valid on the stock day
     (``F_STARTDATE <= DAY < F_ENDDATE``), contributes ``cases / 7``; days
     without a forecast contribute 0; the total is divided by ``divisor``.
-
-    Plan: the days are generated in-row and labelled through a broadcast
-    calendar, then collapsed to (stock row, week, number of days) before any
-    shuffle — the rows of one stock row sit in one task, so the partial
-    aggregate shrinks the x57 expansion to about 9 rows.  The forecast is
-    pre-aggregated per (plant, material, week, version) and joined on those
-    equalities with the validity interval as a residual condition.
+    Days the calendar lacks contribute nothing (inner calendar join).
+
+    Plan: which weeks a horizon covers, and with how many days, depends only
+    on the stock day.  So only the *distinct* stock days are expanded by the
+    horizon and labelled through the calendar, giving (day, week, days) rows
+    whose number is bounded by the calendar span (about 9 per day), not by
+    the stock; that table is broadcast after a size check and joined to the
+    stock rows on the day.  Each stock row thus meets ~9 week rows instead of
+    57 day rows.  The forecast is hash-partitioned once on (plant, material,
+    week), summed per version and joined on those equalities with the
+    validity interval as a residual condition.
     """
     stock_cols = ["WAREHOUSE", "MATERIAL_CODE", "DAY", "TMS", "FREE_STOCK"]
     cal = broadcast_if_small(
         fiscal_labels(calendar).select("OriginalDate", "MARS_WEEK_FOR_DEMAND"), CALENDAR_BROADCAST_ROWS)
-    days = expand_days(stock_latest.select(*stock_cols), "DAY", horizon).join(cal, "OriginalDate")
-    weeks = days.groupBy(*stock_cols, "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days"))
-    fc = (forecast.groupBy("PLANT", F.col("MATERIAL_CODE").alias("__mat"), "MARS_WEEK", "F_STARTDATE", "F_ENDDATE")
+    stock_latest = latest_stock(stock)
+    # Every snapshot day (a superset of the latest days): a column scan, no dedup.
+    stock_days = stock.select("DAY").distinct()
+    horizon_weeks = (expand_days(stock_days, "DAY", horizon).join(cal, "OriginalDate")
+                     .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))
+    weeks = stock_latest.select(*stock_cols).join(
+        broadcast_if_small(horizon_weeks, HORIZON_BROADCAST_ROWS), "DAY")
+    # Hash-partitioned once on the join keys; the per-version aggregate then
+    # needs no exchange of its own (its keys include the join keys).
+    fc = (forecast.withColumnRenamed("MATERIAL_CODE", "__mat")
+          .repartition("PLANT", "__mat", "MARS_WEEK")
+          .groupBy("PLANT", "__mat", "MARS_WEEK", "F_STARTDATE", "F_ENDDATE")
           .agg(F.sum("FORECAST_CASES").alias("__cases")))
     cond = ((weeks["WAREHOUSE"] == fc["PLANT"]) & (weeks["MATERIAL_CODE"] == fc["__mat"])
             & (weeks["MARS_WEEK_FOR_DEMAND"] == fc["MARS_WEEK"])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from .. import operators as op
@@ -48,10 +49,17 @@ class OpenOrderParams:
 
 
 class OpenOrderBranches:
-    """Intermediate results of the decision job, built lazily and once."""
+    """Intermediate results of the decision job, built lazily and once.
 
-    def __init__(self, inp: OpenOrderInputs, prm: OpenOrderParams):
-        self.inp, self.prm = inp, prm
+    The flagged order lines feed four branches (cut orders, restock, later
+    order, merge).  With ``persist=True`` they are kept (memory, spilling to
+    disk) the first time they are computed, so the line source and its joins
+    run once per job; a lost executor's blocks are recomputed from lineage.
+    ``release()`` drops them after the write.
+    """
+
+    def __init__(self, inp: OpenOrderInputs, prm: OpenOrderParams, persist: bool = True):
+        self.inp, self.prm, self.persist = inp, prm, persist
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
@@ -69,14 +77,21 @@ class OpenOrderBranches:
             tolerance=self.prm.price_tolerance))
 
     def flagged_lines(self):
-        return self._get("flagged", lambda: op.attach_flag(self.inp.lines, self.price_flags()))
+        def build():
+            df = op.attach_flag(self.inp.lines, self.price_flags())
+            return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+        return self._get("flagged", build)
+
+    def release(self):
+        if "flagged" in self._cache and self.persist:
+            self._cache["flagged"].unpersist()
 
     def targets(self):
         return self._get("targets", lambda: op.cut_orders(self.flagged_lines(), self.prm.as_of, self.prm.warehouses))
 
     def demand(self):
         return self._get("demand", lambda: op.project_demand(
-            op.latest_stock(self.inp.stock), self.inp.forecast, self.inp.calendar, self.prm.horizon,
+            self.inp.stock, self.inp.forecast, self.inp.calendar, self.prm.horizon,
             self.prm.divisor))
 
     def covered(self):
@@ -97,13 +112,13 @@ class OpenOrderBranches:
             self.inp.transport, self.materials(), self.inp.transit, self.first_date(), self.prm.transport_division))
 
     def stock_alert(self):
-        return self._get("restock", lambda: op.restock_asof(self.inp.lines, self.arrivals(), self.prm.as_of))
+        return self._get("restock", lambda: op.restock_asof(self.flagged_lines(), self.arrivals(), self.prm.as_of))
 
     def quota_alert(self):
         return self._get("quota", lambda: op.quota_exceeded(self.inp.quotas, self.prm.as_of))
 
     def later_alert(self):
-        return self._get("later", lambda: op.quota_in_later_order(self.inp.lines, self.prm.as_of))
+        return self._get("later", lambda: op.quota_in_later_order(self.flagged_lines(), self.prm.as_of))
 
     def decisions(self, with_donor: bool = False):
         return op.merge_decisions(
@@ -112,9 +127,9 @@ class OpenOrderBranches:
             donor_alert=self.donor_alert() if with_donor else None)
 
 
-def open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams) -> DataFrame:
-    """Entry 1: one typed row per open order line with its decision."""
-    return op.typed_output(OpenOrderBranches(inp, prm).decisions())
+def open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, persist: bool = False) -> DataFrame:
+    """Entry 1: one typed row per open order line with its decision (lazy)."""
+    return op.typed_output(OpenOrderBranches(inp, prm, persist).decisions())
 
 
 @dataclass
@@ -142,8 +157,13 @@ def material_dimension_job(inp: DimensionInputs, prefixes=("PLANT", "SHIPPING_PO
 
 
 def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_path: str) -> None:
+    """Entry 1 with its write; the shared order lines are kept for the job only."""
     from ..sources.sinks import write_overwrite
-    write_overwrite(open_order_decisions(inp, prm), target_path)
+    br = OpenOrderBranches(inp, prm, persist=True)
+    try:
+        write_overwrite(op.typed_output(br.decisions()), target_path)
+    finally:
+        br.release()
 
 
 def run_material_dimension(inp: DimensionInputs, target_path: str, files: int = 2, **kw) -> None:

@@ -21,10 +21,24 @@ from pyspark.sql.types import StructType
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None,
-                 where: Column | str | None = None) -> DataFrame:
-    """Parquet scan; an optional filter is pushed to the scan by Catalyst."""
+                 where: Column | str | None = None, min_splits: int | None = None,
+                 spread_by: Sequence[str] = ()) -> DataFrame:
+    """Parquet scan; an optional filter is pushed to the scan by Catalyst.
+
+    ``min_splits``: Parquet is split at row-group boundaries, so a small file
+    written as one row group is read by one task, and every narrow operator
+    above the scan (broadcast joins, projections, partial aggregates) runs in
+    that one task until the first shuffle.  When the scan has fewer splits
+    than ``min_splits`` its rows are spread over ``min_splits`` partitions,
+    hashed on ``spread_by`` (deterministic on retry without the local sort
+    round-robin needs) or round-robin when no column is given.  Filters and
+    column pruning still reach the scan (they pass through a repartition);
+    large inputs, which have many splits, are never redistributed.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
+    if min_splits and df.rdd.getNumPartitions() < min_splits:
+        df = df.repartition(min_splits, *spread_by)
     return df.where(where) if where is not None else df
 
 
