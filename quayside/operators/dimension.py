@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import grams_to_kg, kg_to_grams, length_cm
+from .joins import broadcast_if_small
 from .latest import latest_per_key
 
+# Active sites are a handful of plants and shipping points per company.
+SITES_BROADCAST_ROWS = 1_000_000
+
 
 
 def change_log_order():
@@ -46,11 +50,14 @@ def shipped_materials(shipments: DataFrame, sites: DataFrame, created_from: str
     Items are those created on/after ``created_from`` (text dates parsed with
     ``try_to_date``: bad text is NULL and dropped).  The original finds the
     documents with an inner join, joins back and de-duplicates; that is a semi
-    join followed by a distinct, written so here.
+    join followed by a distinct, written so here.  One plant can issue a large
+    share of all items, so the site list is broadcast (after a size check)
+    instead of shuffling the items on the plant.
     """
     items = shipments.where(F.try_to_date(F.col("ERDAT"), created_format) >= F.lit(created_from).cast("date"))
+    site_ids = broadcast_if_small(sites.select(F.col("SAPID").alias("WERKS")).distinct(), SITES_BROADCAST_ROWS)
     docs = (items.where(F.col("WADAT_IST") >= F.lit(issued_from).cast("date"))
-            .join(sites.select(F.col("SAPID").alias("WERKS")), "WERKS", "left_semi")
+            .join(site_ids, "WERKS", "left_semi")
             .select("VBELN"))
     return items.join(docs, "VBELN", "left_semi").select("MATNR").distinct()
 

@@ -13,7 +13,7 @@ from .joins import broadcast_if_small, expand_days
 
 # A calendar has ~366 rows per year; far above any real span, far below memory limits.
 CALENDAR_BROADCAST_ROWS = 400_000
-# (stock day, week) rows of the horizon: ~9 per distinct day of the stock.
+# (day, week) rows of the horizon table: ~9 per calendar day.
 HORIZON_BROADCAST_ROWS = 4_000_000
 
 
@@ -75,25 +75,20 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     Days the calendar lacks contribute nothing (inner calendar join).
 
     Plan: which weeks a horizon covers, and with how many days, depends only
-    on the stock day.  So only the *distinct* stock days are expanded by the
-    horizon and labelled through the calendar, giving (day, week, days) rows
-    whose number is bounded by the calendar span (about 9 per day), not by
-    the stock; that table is broadcast after a size check and joined to the
-    stock rows on the day.  Each stock row thus meets ~9 week rows instead of
-    57 day rows.  The forecast is hash-partitioned once on (plant, material,
+    on its first day, so ``horizon_weeks`` tabulates it for every day whose
+    horizon meets the calendar — from the calendar alone, about 9 rows per
+    calendar day, never from the stock.  That table is broadcast after a size
+    check and joined to the stock rows on the day: each stock row meets ~9
+    week rows instead of 57 day rows, and a stock day whose horizon misses
+    the calendar finds no row, as with the original inner calendar join.  The forecast is hash-partitioned once on (plant, material,
     week), summed per version and joined on those equalities with the
     validity interval as a residual condition.
     """
     stock_cols = ["WAREHOUSE", "MATERIAL_CODE", "DAY", "TMS", "FREE_STOCK"]
     cal = broadcast_if_small(
         fiscal_labels(calendar).select("OriginalDate", "MARS_WEEK_FOR_DEMAND"), CALENDAR_BROADCAST_ROWS)
-    stock_latest = latest_stock(stock)
-    # Every snapshot day (a superset of the latest days): a column scan, no dedup.
-    stock_days = stock.select("DAY").distinct()
-    horizon_weeks = (expand_days(stock_days, "DAY", horizon).join(cal, "OriginalDate")
-                     .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))
-    weeks = stock_latest.select(*stock_cols).join(
-        broadcast_if_small(horizon_weeks, HORIZON_BROADCAST_ROWS), "DAY")
+    weeks = latest_stock(stock).select(*stock_cols).join(
+        broadcast_if_small(horizon_weeks(cal, horizon), HORIZON_BROADCAST_ROWS), "DAY")
     # Hash-partitioned once on the join keys; the per-version aggregate then
     # needs no exchange of its own (its keys include the join keys).
     fc = (forecast.withColumnRenamed("MATERIAL_CODE", "__mat")
@@ -110,6 +105,15 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     return total.withColumn("FORECAST_CASES_8_WEEK_BY_PER_DAY", F.col("DEMAND_TOTAL") / divisor)
 
 
+def horizon_weeks(cal: DataFrame, horizon: int) -> DataFrame:
+    """(DAY, week, number of horizon days in that week) for every day whose
+    ``[DAY, DAY + horizon]`` meets the calendar; ``cal`` = (OriginalDate, MARS_WEEK_FOR_DEMAND)."""
+    span = cal.agg(F.date_add(F.min("OriginalDate"), -horizon).alias("__s"), F.max("OriginalDate").alias("__e"))
+    days = span.select(F.explode(F.sequence("__s", "__e")).alias("DAY"))
+    return (expand_days(days, "DAY", horizon).join(cal, "OriginalDate")
+            .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))
+
+
 def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[ColumnOrName] = (),
                       first: str = "2000-01-01", last: str = "9999-12-31", start_col: str = "StartDate",
                       end_col: str = "EndDate") -> DataFrame:

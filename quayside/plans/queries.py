@@ -23,12 +23,34 @@ from .jobs import DimensionInputs, OpenOrderBranches, OpenOrderInputs, OpenOrder
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+class LazyOpenOrderInputs:
+    """The decision job's inputs bound to the test tables on first use.
+
+    A query that needs only the materials does not build (nor plan) the other
+    ten inputs; ``OpenOrderBranches`` reads them as attributes.
+    """
+
+    _LOADERS = {
+        "lines": b.order_lines, "sales_orders": b.sales_orders, "items": b.order_items, "materials": b.materials,
+        "calendar": b.calendar, "stock": b.stock, "forecast": b.forecast, "transport": b.transport,
+        "transit": b.transit, "quotas": b.quotas, "donor_pairs": lambda spark, d: b.donor_pairs(spark),
+    }
+
+    def __init__(self, spark: SparkSession, d: str):
+        self._spark, self._d, self._got = spark, d, {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._LOADERS:
+            raise AttributeError(name)
+        if name not in self._got:
+            self._got[name] = self._LOADERS[name](self._spark, self._d)
+        return self._got[name]
+
+
 def open_order_inputs(spark: SparkSession, d: str) -> OpenOrderInputs:
-    return OpenOrderInputs(
-        lines=b.order_lines(spark, d), sales_orders=b.sales_orders(spark, d), items=b.order_items(spark, d),
-        materials=b.materials(spark, d), calendar=b.calendar(spark, d), stock=b.stock(spark, d),
-        forecast=b.forecast(spark, d), transport=b.transport(spark, d), transit=b.transit(spark, d),
-        quotas=b.quotas(spark, d), donor_pairs=b.donor_pairs(spark))
+    """All inputs, eagerly (for callers that want the plain dataclass)."""
+    lazy = LazyOpenOrderInputs(spark, d)
+    return OpenOrderInputs(**{k: getattr(lazy, k) for k in LazyOpenOrderInputs._LOADERS})
 
 
 def open_order_params() -> OpenOrderParams:
@@ -38,7 +60,7 @@ def open_order_params() -> OpenOrderParams:
 
 
 def branches(spark: SparkSession, d: str) -> OpenOrderBranches:
-    return OpenOrderBranches(open_order_inputs(spark, d), open_order_params())
+    return OpenOrderBranches(LazyOpenOrderInputs(spark, d), open_order_params())
 
 
 def dimension_inputs(spark: SparkSession, d: str) -> DimensionInputs:

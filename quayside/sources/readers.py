@@ -37,11 +37,22 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
-    if min_splits and df.rdd.getNumPartitions() < min_splits:
+    if min_splits and _scan_splits(spark, path, df) < min_splits:
         df = df.repartition(min_splits, *spread_by)
     return df.where(where) if where is not None else df
 
 
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def _scan_splits(spark: SparkSession, path: str, df: DataFrame) -> int:
+    """Number of scan splits of ``path``; planned once per application and path."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return _SPLITS[key]
+
+
 def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                 **options: str) -> DataFrame:
     """Format-named scan (``spark.read.format(fmt).load(path)``)."""
