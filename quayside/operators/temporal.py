@@ -114,23 +114,39 @@ def horizon_weeks(cal: DataFrame, horizon: int) -> DataFrame:
             .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))
 
 
-def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[ColumnOrName] = (),
+def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[str] = (),
                       first: str = "2000-01-01", last: str = "9999-12-31", start_col: str = "StartDate",
                       end_col: str = "EndDate") -> DataFrame:
     """``[start, end]`` per version from the version dates of each key.
 
+    Versions of a key are ordered by ``date_col`` then ``tie_break``.
     start = ``first`` for the earliest version, else the version's date;
-    end = next version's date - 1 day, or ``last`` for the latest version.
-    ``date_col`` must be a DATE (Q13).  With equal dates the next version can
-    start on the same day, giving ``end < start`` — kept, as in the original;
-    ``tie_break`` fixes which of the equal-dated rows comes first.
+    end = the next version's date - 1 day, or ``last`` for the latest version.
+    ``date_col`` must be a DATE (Q13).  With equal dates the next version
+    starts on the same day, giving ``end < start`` — kept, as in the original.
+
+    No window runs over a key's versions (one key can hold a large share of
+    all rows): the versions are first reduced to one row per (key, date) with
+    the first and last tie-break values (partial aggregation), the previous and
+    next *dates* come from a window over that table — bounded by the number of
+    distinct dates of a key — and the result is joined back on (key, date).
+    ``tie_break`` columns must make the order total within a date.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(date_col), *[c(t) for t in tie_break])
-    prev_d = F.lag(date_col, 1).over(w)
-    next_d = F.lead(date_col, 1).over(w)
-    return (df.withColumn(start_col, F.when(prev_d.isNull(), F.lit(first)).otherwise(F.col(date_col)).cast("date"))
-              .withColumn(end_col, F.when(next_d.isNull(), F.lit(last))
-                          .otherwise(F.date_add(next_d, -1)).cast("date")))
+    tb = F.struct(*[F.col(t) for t in tie_break]) if tie_break else F.lit(0)
+    days = (df.groupBy(*keys, date_col)
+            .agg(F.min(tb).alias("__tb_first"), F.max(tb).alias("__tb_last")))
+    w = Window.partitionBy(*keys).orderBy(date_col)
+    days = (days.withColumn("__prev", F.lag(date_col, 1).over(w))
+                .withColumn("__next", F.lead(date_col, 1).over(w)))
+    j = df.join(days.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, date_col]}).alias("__d"),
+                [df[k].eqNullSafe(F.col(f"__d.__k_{k}")) for k in [*keys, date_col]], "inner")
+    first_of_key = F.col("__prev").isNull() & (tb == F.col("__tb_first"))
+    last_of_key = F.col("__next").isNull() & (tb == F.col("__tb_last"))
+    next_version = F.when(tb == F.col("__tb_last"), F.date_add(F.col("__next"), -1)).otherwise(
+        F.date_add(F.col(date_col), -1))
+    out = (j.withColumn(start_col, F.when(first_of_key, F.lit(first)).otherwise(F.col(date_col)).cast("date"))
+            .withColumn(end_col, F.when(last_of_key, F.lit(last)).otherwise(next_version).cast("date")))
+    return out.select(*df.columns, start_col, end_col)
 
 
 def safe_ratio_of_sums(num: ColumnOrName, den: ColumnOrName) -> Column:
