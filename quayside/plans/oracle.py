@@ -147,9 +147,10 @@ CTES: dict[str, tuple[list[str], str]] = {
                f.MarsWeekFullName
         FROM flagged f
         JOIN (SELECT SalesOrderId, AVG(CASE WHEN CsPreSl < 1 THEN 0 ELSE 1 END) AS svc,
-                     COALESCE(SUM(CASE WHEN (Allocation IS NULL OR AllocationAvailable = 0)
-                                            AND FlagPriceDisagreement IS NULL THEN CUT_QTY_PALLET END)
-                              / NULLIF(SUM(AGREED_ORDEREDQTY_PALLET), 0), 0) AS share
+                     COALESCE(SUM(CAST(CASE WHEN (Allocation IS NULL OR AllocationAvailable = 0)
+                                                 AND FlagPriceDisagreement IS NULL THEN CUT_QTY_PALLET END
+                                            AS DECIMAL(38, 6)))
+                              / NULLIF(SUM(CAST(AGREED_ORDEREDQTY_PALLET AS DECIMAL(38, 6))), 0), 0) AS share
               FROM flagged GROUP BY SalesOrderId) a ON a.SalesOrderId = f.SalesOrderId
         WHERE a.svc < 1 AND f.MarsDc IN ({WH}) AND f.OrderProcessingDate <= {AS_OF} + 5 AND a.share >= 0.3"""),
     "st": (["lr"], f"""
