@@ -82,6 +82,12 @@ class OpenOrderBranches:
             return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
         return self._get("flagged", build)
 
+    def shared_lines(self):
+        """Lines for the restock and later-order branches: the persisted flagged
+        lines when the job keeps them (one computation for all branches), else
+        the plain lines (no price check needed)."""
+        return self.flagged_lines() if self.persist else self.inp.lines
+
     def release(self):
         if "flagged" in self._cache and self.persist:
             self._cache["flagged"].unpersist()
@@ -112,13 +118,13 @@ class OpenOrderBranches:
             self.inp.transport, self.materials(), self.inp.transit, self.first_date(), self.prm.transport_division))
 
     def stock_alert(self):
-        return self._get("restock", lambda: op.restock_asof(self.flagged_lines(), self.arrivals(), self.prm.as_of))
+        return self._get("restock", lambda: op.restock_asof(self.shared_lines(), self.arrivals(), self.prm.as_of))
 
     def quota_alert(self):
         return self._get("quota", lambda: op.quota_exceeded(self.inp.quotas, self.prm.as_of))
 
     def later_alert(self):
-        return self._get("later", lambda: op.quota_in_later_order(self.flagged_lines(), self.prm.as_of))
+        return self._get("later", lambda: op.quota_in_later_order(self.shared_lines(), self.prm.as_of))
 
     def decisions(self, with_donor: bool = False):
         return op.merge_decisions(
