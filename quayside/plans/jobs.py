@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from .. import operators as op
 from ..functions.units import technology_rules
+from ..session import checkpoint_dir
 
 
 @dataclass
@@ -55,11 +56,15 @@ class OpenOrderBranches:
     order, merge).  With ``persist=True`` they are kept (memory, spilling to
     disk) the first time they are computed, so the line source and its joins
     run once per job; a lost executor's blocks are recomputed from lineage.
-    ``release()`` drops them after the write.
+    With ``checkpoint=True`` they are instead written once to the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read back by every branch,
+    which cuts the lineage: a late executor loss re-reads them rather than
+    re-running the joins.  ``release()`` drops persisted blocks after the write.
     """
 
-    def __init__(self, inp: OpenOrderInputs, prm: OpenOrderParams, persist: bool = True):
-        self.inp, self.prm, self.persist = inp, prm, persist
+    def __init__(self, inp: OpenOrderInputs, prm: OpenOrderParams, persist: bool = True,
+                 checkpoint: bool = False):
+        self.inp, self.prm, self.persist, self.checkpoint = inp, prm, persist or checkpoint, checkpoint
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
@@ -79,6 +84,9 @@ class OpenOrderBranches:
     def flagged_lines(self):
         def build():
             df = op.attach_flag(self.inp.lines, self.price_flags())
+            if self.checkpoint:
+                checkpoint_dir(df.sparkSession)
+                return df.checkpoint(eager=True)
             return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
         return self._get("flagged", build)
 
@@ -89,7 +97,7 @@ class OpenOrderBranches:
         return self.flagged_lines() if self.persist else self.inp.lines
 
     def release(self):
-        if "flagged" in self._cache and self.persist:
+        if "flagged" in self._cache and self.persist and not self.checkpoint:
             self._cache["flagged"].unpersist()
 
     def targets(self):
@@ -162,10 +170,20 @@ def material_dimension_job(inp: DimensionInputs, prefixes=("PLANT", "SHIPPING_PO
                                  inp.brand_text, inp.segment_text, inp.classes, inp.class_values, audit=audit)
 
 
-def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_path: str) -> None:
-    """Entry 1 with its write; the shared order lines are kept for the job only."""
+def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_path: str,
+                             checkpoint: bool | None = None) -> None:
+    """Entry 1 with its write.
+
+    The shared order lines are checkpointed to the cluster's shared folder when
+    ``spark.checkpoint.dir`` is set (or ``checkpoint=True``), else persisted for
+    the job only.
+    """
     from ..sources.sinks import write_overwrite
-    br = OpenOrderBranches(inp, prm, persist=True)
+    spark = inp.lines.sparkSession
+    if checkpoint is None:
+        checkpoint = bool(spark.conf.get("spark.checkpoint.dir", None)
+                          or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
+    br = OpenOrderBranches(inp, prm, persist=True, checkpoint=checkpoint)
     try:
         write_overwrite(op.typed_output(br.decisions()), target_path)
     finally:
