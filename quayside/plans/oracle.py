@@ -462,7 +462,7 @@ SQL: dict[str, str] = {
               FROM (SELECT * FROM (SELECT SalesOrderId, CsPreSlSalesOrder, MarsDc, DonorPlant, COUNT(*) AS n
                                    FROM (SELECT * FROM feas QUALIFY row_number() OVER (
                                              PARTITION BY SalesOrderId, Material
-                                             ORDER BY FREE_STOCK DESC NULLS LAST, DonorPlant ASC) = 1)
+                                             ORDER BY FREE_STOCK DESC NULLS LAST, DonorPlant ASC, MarsDc ASC) = 1)
                                    GROUP BY 1, 2, 3, 4)
                     QUALIFY dense_rank() OVER (PARTITION BY SalesOrderId ORDER BY n DESC) = 1)
               GROUP BY 1, 2)""", "feas"),
