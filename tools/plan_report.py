@@ -71,7 +71,7 @@ def main(argv):
     print("Shuffles = hash/round-robin exchanges; single = exchanges to one partition (global aggregates of the "
           "calendar span); SMJ / BHJ = sort-merge / broadcast-hash joins; NLJ = nested-loop or cartesian "
           "(must be 0); partial = `WindowGroupLimit` applied before the shuffle (latest-per-key); pushed = "
-          "Parquet scans with pushed filters.  A persisted relation (the decision job's shared order lines) "
+          "Parquet scans with pushed filters.  A persisted relation, if any, "
           "is counted once.  Most scans come from the test-table binding, which derives every input of the "
           "decision job from `lineitem` joins.\n")
     print("| Query | shuffles | single | broadcasts | SMJ | BHJ | NLJ | windows | partial limits | scans (pushed) | tables |")
