@@ -52,7 +52,7 @@ def test_csv_with_explicit_schema(spark, scratch):
 
 
 def test_inline_relation_and_contract(spark):
-    pairs = inline_relation(spark, [("RU32", "RU37"), ("RU38", "RU32")], "SourcePlant string, DonorPlant string")
+    pairs = inline_relation(spark, [("W1", "W3"), ("W2", "W1")], "SourcePlant string, DonorPlant string")
     assert pairs.count() == 2
     assert_columns(pairs, ["SourcePlant"])
     with pytest.raises(ValueError):
