@@ -45,8 +45,12 @@ def ordered_rules(rules: Sequence[tuple[Column, str | None]], default: str | Non
     return expr.otherwise(F.lit(default).cast("string")) if expr is not None else F.lit(default)
 
 
+# Fixed value: the brand classified DRY whatever its technology in the original rules.
+DRY_BRANDS = ("DREAMIES",)
+
+
 def technology_rules(brand: ColumnOrName = "Brand", technology: ColumnOrName = "Technology",
-                     dry_brands: Sequence[str] = ("DREAMIES",)) -> list[tuple[Column, str | None]]:
+                     dry_brands: Sequence[str] = DRY_BRANDS) -> list[tuple[Column, str | None]]:
     """C5 rule list: brand override, then technology names, NULL stays NULL.
 
     Fixed values: 'Dry' and 'Care & Treats' are DRY, 'Pouch' is WET.

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from .. import operators as op
-from ..functions.units import technology_rules
+from ..functions.units import DRY_BRANDS, technology_rules
 from ..session import checkpoint_dir
 
 
@@ -42,7 +42,7 @@ class OpenOrderParams:
     org: object = 261
     division: object = 5
     price_tolerance: float = 0.02
-    dry_brands: Sequence[str] = ("DREAMIES",)
+    dry_brands: Sequence[str] = DRY_BRANDS
     transport_division: str = "Petcare"
     coefficient: float = 0.5
     horizon: int = 56
