@@ -44,7 +44,7 @@ from . import common as C
 LENGTH, GRAM = 100, 16
 SLICE = 1 << 20  # bytes hashed at a time
 HELD = 400_000  # phrases among which a task settles copies by itself
-INDEXED = 1 << 21  # bytes of an index
+INDEXED = 1 << 19  # bytes of an index
 MANY = 4096
 PLACE = np.uint64((1 << 22) - 1)
 NULL_ID = -(1 << 63)
@@ -173,6 +173,14 @@ def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
         run, "copy boolean, anchor long, phrase long, doc long, h long, start long, n long")
 
 
+def dense(key: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct keys."""
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.concatenate(([0], np.diff(key[order]) != 0)))
+    return rank
+
+
 def run_length_index(text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
     """Run samples of the Burrows-Wheeler transform of phrases that each end in END.
 
@@ -187,26 +195,30 @@ def run_length_index(text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ..
     for i in range(8):
         key = (key << np.uint64(8)) | np.where(i <= left, grown[i:n + i], 0).astype(np.uint64)
     ranks, size = [], 8
-    rank = np.unique(key, return_inverse=True)[1]
+    rank = dense(key)
     longest = int(left.max(initial=0)) + 1
     while True:
         ranks.append((size, rank))
         if size >= longest:
             break
-        at = np.arange(size, n + size)
-        after = np.where(left >= size, rank[np.minimum(at, n - 1)] + 1, 0)  # a phrase that ended has nothing after
-        rank = np.unique(rank.astype(np.int64) * (n + 1) + after, return_inverse=True)[1]
-        size *= 2
-    order = np.argsort(rank, kind="stable")
+        bits = int(rank.max() + 2).bit_length()
+        key, many = rank.astype(np.uint64) + np.uint64(1), max(2, min(4, 63 // bits))
+        for i in range(1, many):  # as many ranks side by side as a key can hold; a phrase that ended has nothing after
+            after = np.zeros(n, np.uint64)
+            after[:max(0, n - i * size)] = rank[i * size:]
+            key = (key << np.uint64(bits)) | np.where(left >= i * size, after + np.uint64(1), np.uint64(0))
+        rank, size = dense(key), size * many
+    order = np.argsort(rank.astype(np.int64) * n + np.arange(n))  # phrases that are alike to their ends: by place
     before = np.where(order > 0, text[order - 1], END)
     head = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == END)))
     k = np.flatnonzero(head)
     place, prior = order[k], np.where(k > 0, order[k - 1], 0)
     x, y, shared = place.copy(), prior.copy(), np.zeros(len(k), np.int64)
-    for size, rank in reversed(ranks):  # each size at most once, as the shared length is under twice the largest
-        same = (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)]) & (x < n) & (y < n)
-        for v in (x, y, shared):
-            v[same] += size
+    for (size, rank), up in zip(reversed(ranks), [2 * ranks[-1][0], *(r[0] for r in reversed(ranks))]):
+        for _ in range(up // size - 1):
+            same = (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)]) & (x < n) & (y < n)
+            for v in (x, y, shared):
+                v[same] += size
     for _ in range(7):
         same = (x < n) & (y < n) & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])
         for v in (x, y, shared):
