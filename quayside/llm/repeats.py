@@ -253,7 +253,7 @@ def index_marks(cut: DataFrame, length: int) -> DataFrame:
     """Marks (doc, h, start, stop) in phrases (anchor, doc, h, start, bytes), by one index for each few MB of whole anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(rows: list[tuple]) -> pa.RecordBatch:
-            rows.sort(key=lambda r: r[1:4])
+            rows = sorted({r[1:4]: r for r in rows}.values(), key=lambda r: r[1:4])  # rows that repeat bring a phrase twice
             doc, h, start = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
             sizes = np.array([len(r[4]) + 1 for r in rows], np.int64)
             stop = np.cumsum(sizes)

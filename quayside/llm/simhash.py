@@ -141,11 +141,12 @@ def keep_first(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = groups(docs.select("doc_id", text), text)
     firsts = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(firsts.withColumnRenamed("doc_id", "_first"), docs["doc_id"] == F.col("_first"), "left_semi")
+    named = named.dropDuplicates(["doc_id"])
     nameless = docs.filter("doc_id is null")
     if nameless.limit(1).count():
         named = named.unionByName(_nameless(nameless, found, text))
-    return named.select(*docs.columns)
+    return named
 
 
 def _nameless(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
