@@ -8,7 +8,7 @@ message texts) are explicit arguments.  Sub-packages:
 * ``functions`` — scalar column expressions (safe division, fiscal labels, units, texts)
 * ``operators`` — composite operators (latest-per-key, as-of join, alerts, merge, dimension)
 * ``plans``     — the two end-to-end jobs, the test-table binding and the query registry
-* ``streaming`` — intentionally empty: the jobs this library re-implements are batch only
+* ``llm``       — training-data operators; nothing else imports them
 """
 
 __version__ = "0.1.0"

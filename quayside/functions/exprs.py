@@ -25,6 +25,19 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(c(num), c(den))
 
 
+# 15 decimals hold every digit that a quantity has as a double.
+EXACT = "decimal(38,15)"
+
+
+def exact_sum(x: Column, over=None) -> Column:
+    """The sum of doubles through decimals: the same whatever order rows arrive in.
+
+    Used where a threshold or a text depends on a sum.  ``over``: a window.
+    """
+    total = F.sum(x.cast(EXACT))
+    return (total if over is None else total.over(over)).cast("double")
+
+
 def strip_leading_zeros(x: ColumnOrName) -> Column:
     """``'000123' -> '123'``; an all-zero code becomes ``''``."""
     return F.regexp_replace(c(x), r"^0*", "")
@@ -35,23 +48,10 @@ def as_of_date(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def date_plus(d: ColumnOrName, days: int | ColumnOrName) -> Column:
-    """DATE plus a day count (constant or column)."""
-    n = F.lit(days) if isinstance(days, int) else c(days)
-    return F.date_add(c(d), n)
-
-
 def empty_if_null(x: ColumnOrName) -> Column:
     return F.coalesce(c(x), F.lit(""))
 
 
-def first_non_null(xs: Sequence[ColumnOrName], default=None) -> Column:
-    cols = [c(x) for x in xs]
-    if default is not None:
-        cols.append(F.lit(default))
-    return F.coalesce(*cols)
-
-
 def not_in_or_null(x: ColumnOrName, values: Sequence) -> Column:
     """keep rows whose value is outside ``values`` *or* NULL."""
     return ~c(x).isin(*values) | c(x).isNull()

@@ -10,16 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.units import grams_to_kg, kg_to_grams, length_cm
 from .joins import broadcast_if_small
 from .latest import latest_per_key
-
-# Active sites are a handful of plants and shipping points per company.
-SITES_BROADCAST_ROWS = 1_000_000
-
+from .temporal import validity_interval
 
 
 def change_log_order():
@@ -55,7 +52,7 @@ def shipped_materials(shipments: DataFrame, sites: DataFrame, created_from: str
     instead of shuffling the items on the plant.
     """
     items = shipments.where(F.try_to_date(F.col("ERDAT"), created_format) >= F.lit(created_from).cast("date"))
-    site_ids = broadcast_if_small(sites.select(F.col("SAPID").alias("WERKS")).distinct(), SITES_BROADCAST_ROWS)
+    site_ids = broadcast_if_small(sites.select(F.col("SAPID").alias("WERKS")).distinct())
     docs = (items.where(F.col("WADAT_IST") >= F.lit(issued_from).cast("date"))
             .join(site_ids, "WERKS", "left_semi")
             .select("VBELN"))
@@ -102,16 +99,20 @@ def coded_text_lookup(classes: DataFrame, class_values: DataFrame) -> DataFrame:
 def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataFrame, material_text: DataFrame,
                        uom_text: DataFrame, brand_text: DataFrame, segment_text: DataFrame, classes: DataFrame,
                        class_values: DataFrame, language: str = "EN", first: str = "2000-01-01",
-                       last: str = "9999-12-31", audit: bool = True) -> DataFrame:
+                       last: str = "9999-12-31", audit: bool = True, history: bool = False) -> DataFrame:
     """One row per shipped material with texts, units, weights, volume, validity.
 
     The attribute history is cut to its latest load per material before the
-    validity window, so every interval is ``first`` .. ``last`` unless a
-    lookup fans out (Q14).  Weights in grams become kilograms, piece weights
+    validity intervals are taken, so every interval is ``first`` .. ``last``;
+    ``history=True`` keeps every load, with an interval each (Q14).  Intervals
+    come from the loads alone, so a lookup that fans out repeats them.
+    Weights in grams become kilograms, piece weights
     in kilograms become grams, the volume is the product of the lengths in cm.
     ``audit`` adds the load time (``current_timestamp``).
     """
-    a = normalize_units(latest_attributes(attr_history)).alias("a")
+    loads = normalize_units(attr_history if history else latest_attributes(attr_history))
+    a = validity_interval(loads, ["MATNR_PK"], "LAEDA", ["LOAD_DATE", "DI_SEQUENCE_NUMBER"], first, last,
+                          "__from", "__to").alias("a")
     s = shipped.select(F.col("MATNR").alias("__ship_mat")).alias("s")
     uom = uom_text.select(F.col("CHRCOD").alias("__uom_code"), F.col("VTEXT").alias("__uom_text"))
     u = unit_pivot(units).withColumnRenamed("MATNR", "__unit_mat")
@@ -126,8 +127,6 @@ def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataF
          .join(brand, F.col("__brand_code") == F.col("a.ZZCLF03"), "left")
          .join(cls, F.col("__cls_mat") == F.col("a.MATNR_PK"), "left")
          .join(seg, F.col("__seg_code") == F.col("a.ZZCLF02"), "left"))
-    w = Window.partitionBy(F.col("a.MATNR_PK")).orderBy(F.col("a.LAEDA"))
-    prev_d, next_d = F.lag(F.col("a.LAEDA"), 1).over(w), F.lead(F.col("a.LAEDA"), 1).over(w)
     cols = [
         F.col("a.MATNR_PK").alias("Material_Code__PK"),
         F.col("a.ZZREPMATNR").alias("Material_ZREP"),
@@ -143,8 +142,8 @@ def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataF
         (F.col("a.LAENG_cm") * F.col("a.BREIT_cm") * F.col("a.HOEHE_cm")).alias("Material_Volume__UOM"),
         F.col("a.MTART").alias("Material_Type"),
         F.col("a.SPART").alias("BusinessSegment_Code"),
-        F.when(prev_d.isNull(), F.lit(first)).otherwise(F.col("a.LAEDA")).cast("date").alias("Material_StartDate__PK"),
-        F.when(next_d.isNull(), F.lit(last)).otherwise(F.date_add(next_d, -1)).cast("date").alias("Material_EndDate"),
+        F.col("a.__from").alias("Material_StartDate__PK"),
+        F.col("a.__to").alias("Material_EndDate"),
         F.col("SB_UMREN").try_cast("int").alias("Material_ShowBox__UOM"),
         kg_to_grams(F.col("ST_ZZNTGEW"), F.col("ST_GEWEI")).cast("double").alias("Material_PieceNetWeight__UOM"),
         F.col("a.ZZCLF03").alias("Brand_Code"),

@@ -102,5 +102,5 @@ def typed_output(df: DataFrame, contract: Sequence[tuple[str, str, int | None]]
             e = F.concat_ws(" ", F.col("Brand"), F.col("Technology"))
         else:
             e = F.col(name)
-        cols.append(e.cast(typ).alias(name))
+        cols.append(e.try_cast(typ).alias(name))  # a dirty value becomes NULL, not a failed job
     return df.select(*cols)

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import fiscal_week_key, period_year_key
-from ..functions.exprs import ColumnOrName, as_of_date, c, safe_div
+from ..functions.exprs import as_of_date, exact_sum
 from .joins import broadcast_if_small, expand_days
-
-# A calendar has ~366 rows per year; far above any real span, far below memory limits.
-CALENDAR_BROADCAST_ROWS = 400_000
-# (day, week) rows of the horizon table: ~9 per calendar day.
-HORIZON_BROADCAST_ROWS = 4_000_000
+from .latest import latest_per_key
 
 
 def fiscal_labels(calendar: DataFrame, out_col: str = "MARS_WEEK_FOR_DEMAND") -> DataFrame:
@@ -49,13 +45,14 @@ def valid_at(df: DataFrame, as_of, start: str, end: str) -> DataFrame:
 STOCK_KEYS = ["WAREHOUSE", "MATERIAL_CODE"]
 
 
-def latest_stock(stock: DataFrame) -> DataFrame:
-    """Latest stock row per (warehouse, material).
+def latest_stock(stock: DataFrame, as_of=None) -> DataFrame:
+    """Latest stock row per (warehouse, material) (L1b); with ``as_of``, of the rows up to that day.
 
     Ties on the day are broken by the remaining columns, so equal rows are
     the only ones that can swap.
     """
-    from .latest import latest_per_key
+    if as_of is not None:
+        stock = stock.where(F.col("DAY") <= as_of_date(as_of))
     return latest_per_key(stock, STOCK_KEYS, [F.col("DAY").desc()],
                           tie_break=[F.col("FREE_STOCK").desc(), F.col("TMS").desc()])
 
@@ -80,28 +77,24 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     calendar day, never from the stock.  That table is broadcast after a size
     check and joined to the stock rows on the day: each stock row meets ~9
     week rows instead of 57 day rows, and a stock day whose horizon misses
-    the calendar finds no row, as with the original inner calendar join.  The forecast is hash-partitioned once on (plant, material,
-    week), summed per version and joined on those equalities with the
-    validity interval as a residual condition.
+    the calendar finds no row, as with the original inner calendar join.  The
+    forecast is summed per version (partial sums first) and joined on (plant,
+    material, week) with the validity interval as a residual condition.
     """
     stock_cols = ["WAREHOUSE", "MATERIAL_CODE", "DAY", "TMS", "FREE_STOCK"]
-    cal = broadcast_if_small(
-        fiscal_labels(calendar).select("OriginalDate", "MARS_WEEK_FOR_DEMAND"), CALENDAR_BROADCAST_ROWS)
-    weeks = latest_stock(stock).select(*stock_cols).join(
-        broadcast_if_small(horizon_weeks(cal, horizon), HORIZON_BROADCAST_ROWS), "DAY")
-    # Hash-partitioned once on the join keys; the per-version aggregate then
-    # needs no exchange of its own (its keys include the join keys).
+    cal = fiscal_labels(calendar).select("OriginalDate", "MARS_WEEK_FOR_DEMAND")
+    weeks = latest_stock(stock).select(*stock_cols).join(broadcast_if_small(horizon_weeks(cal, horizon)), "DAY")
+    # Versions are summed before they are shuffled (exactly: the total is tested
+    # against a threshold), then meet the stock on the join keys.
     fc = (forecast.withColumnRenamed("MATERIAL_CODE", "__mat")
-          .repartition("PLANT", "__mat", "MARS_WEEK")
           .groupBy("PLANT", "__mat", "MARS_WEEK", "F_STARTDATE", "F_ENDDATE")
-          .agg(F.sum("FORECAST_CASES").alias("__cases")))
+          .agg(exact_sum(F.col("FORECAST_CASES")).alias("__cases")))
     cond = ((weeks["WAREHOUSE"] == fc["PLANT"]) & (weeks["MATERIAL_CODE"] == fc["__mat"])
             & (weeks["MARS_WEEK_FOR_DEMAND"] == fc["MARS_WEEK"])
             & weeks["DAY"].between(fc["F_STARTDATE"], F.date_add(fc["F_ENDDATE"], -1)))
     joined = weeks.join(fc, cond, "left")
-    total = (joined.groupBy(*stock_cols)
-             .agg(F.coalesce(F.sum(F.col("__days") * F.col("__cases") / days_per_week), F.lit(0.0))
-                  .alias("DEMAND_TOTAL")))
+    cases = exact_sum(F.col("__days") * F.col("__cases"))
+    total = joined.groupBy(*stock_cols).agg(F.coalesce(cases / days_per_week, F.lit(0.0)).alias("DEMAND_TOTAL"))
     return total.withColumn("FORECAST_CASES_8_WEEK_BY_PER_DAY", F.col("DEMAND_TOTAL") / divisor)
 
 
@@ -114,14 +107,15 @@ def horizon_weeks(cal: DataFrame, horizon: int) -> DataFrame:
             .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))
 
 
-def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[str] = (),
+def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[str],
                       first: str = "2000-01-01", last: str = "9999-12-31", start_col: str = "StartDate",
                       end_col: str = "EndDate") -> DataFrame:
     """``[start, end]`` per version from the version dates of each key.
 
-    Versions of a key are ordered by ``date_col`` then ``tie_break``.
-    start = ``first`` for the earliest version, else the version's date;
-    end = the next version's date - 1 day, or ``last`` for the latest version.
+    Versions of a key are ordered by ``date_col`` (NULL first) then
+    ``tie_break``, which must make the order total within a date.
+    start = the version's date, or ``first`` if no version with a date precedes it;
+    end = the next version's date - 1 day, or ``last`` if there is none or it has no date.
     ``date_col`` must be a DATE (Q13).  With equal dates the next version
     starts on the same day, giving ``end < start`` — kept, as in the original.
 
@@ -130,9 +124,12 @@ def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_bre
     the first and last tie-break values (partial aggregation), the previous and
     next *dates* come from a window over that table — bounded by the number of
     distinct dates of a key — and the result is joined back on (key, date).
-    ``tie_break`` columns must make the order total within a date.
+    A version's neighbour has the version's own date unless the version is the
+    first or last of its date.
     """
-    tb = F.struct(*[F.col(t) for t in tie_break]) if tie_break else F.lit(0)
+    if not tie_break:
+        raise ValueError("tie_break must name the columns that order versions of one date")
+    tb = F.struct(*[F.col(t) for t in tie_break])
     days = (df.groupBy(*keys, date_col)
             .agg(F.min(tb).alias("__tb_first"), F.max(tb).alias("__tb_last")))
     w = Window.partitionBy(*keys).orderBy(date_col)
@@ -140,14 +137,9 @@ def validity_interval(df: DataFrame, keys: Sequence[str], date_col: str, tie_bre
                 .withColumn("__next", F.lead(date_col, 1).over(w)))
     j = df.join(days.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, date_col]}).alias("__d"),
                 [df[k].eqNullSafe(F.col(f"__d.__k_{k}")) for k in [*keys, date_col]], "inner")
-    first_of_key = F.col("__prev").isNull() & (tb == F.col("__tb_first"))
-    last_of_key = F.col("__next").isNull() & (tb == F.col("__tb_last"))
-    next_version = F.when(tb == F.col("__tb_last"), F.date_add(F.col("__next"), -1)).otherwise(
-        F.date_add(F.col(date_col), -1))
-    out = (j.withColumn(start_col, F.when(first_of_key, F.lit(first)).otherwise(F.col(date_col)).cast("date"))
-            .withColumn(end_col, F.when(last_of_key, F.lit(last)).otherwise(next_version).cast("date")))
+    own = F.col(date_col)
+    before = F.when(tb.eqNullSafe(F.col("__tb_first")), F.col("__prev")).otherwise(own)
+    after = F.when(tb.eqNullSafe(F.col("__tb_last")), F.col("__next")).otherwise(own)
+    out = (j.withColumn(start_col, F.when(before.isNull(), F.lit(first)).otherwise(own).cast("date"))
+            .withColumn(end_col, F.when(after.isNull(), F.lit(last)).otherwise(F.date_add(after, -1)).cast("date")))
     return out.select(*df.columns, start_col, end_col)
-
-
-def safe_ratio_of_sums(num: ColumnOrName, den: ColumnOrName) -> Column:
-    return safe_div(F.sum(c(num)), F.sum(c(den)))

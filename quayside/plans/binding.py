@@ -30,30 +30,24 @@ from . import params
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Plain scans.  The test files are single row groups (one scan task each);
-    # spreading them with ``read_parquet(min_splits=...)`` was measured slower
-    # overall (one extra shuffle per read), so it is left to callers.
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-# Supplier dimension rows up to which it is broadcast (a few tens of MB); beyond
-# that the line join is a shuffle join.  Without the hint, the planner's size
+# Supplier files up to which the dimension is broadcast; beyond that the line
+# join is a shuffle join.  Without the hint, the planner's size
 # estimate of supplier x nation (product of both sizes) can exceed the estimate
 # of the filtered line table, and it would broadcast the fact side instead.
-SUPPLIER_BROADCAST_ROWS = 2_000_000
-
-
-_SMALL: dict[tuple, bool] = {}
+SUPPLIER_BROADCAST_BYTES = 64 << 20
 
 
 def _supplier_region(spark, d) -> DataFrame:
-    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_name")
-    n = F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_regionkey", "n_name"))
+    supplier = table(spark, d, "supplier")
+    s = supplier.select("s_suppkey", "s_nationkey", "s_name")
+    n = table(spark, d, "nation").select("n_nationkey", "n_regionkey", "n_name")
     sr = s.join(n, s["s_nationkey"] == n["n_nationkey"]).drop("n_nationkey")
-    key = (spark.sparkContext.applicationId, d)   # the size check runs once per application and folder
-    if key not in _SMALL:
-        _SMALL[key] = sr.limit(SUPPLIER_BROADCAST_ROWS + 1).count() <= SUPPLIER_BROADCAST_ROWS
-    return F.broadcast(sr) if _SMALL[key] else sr
+    # the planner's size of a bare scan is that of its files: no job, and never stale
+    size = int(supplier._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(sr) if size <= SUPPLIER_BROADCAST_BYTES else sr
 
 
 def _lines_with_region(spark, d) -> DataFrame:
@@ -85,7 +79,6 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     conf_factor = 1 - 10 * F.col("l_discount")
     confirmed = F.round(F.col("l_quantity") * conf_factor, 2)
     labels = fiscal_labels_of(planned)
-    null_d = F.lit(None).cast("double")
     cols = {
         "SalesOrderId": F.col("l_orderkey"),
         "PositionNumber": F.col("l_linenumber"),
@@ -120,19 +113,22 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
         "CustomerDc": F.col("s_name"),
         "CustomerDcCode": F.col("s_nationkey").cast("string"),
         "Region": F.col("n_name"),
-        "Technology": F.lit(None).cast("string"),
+        "Technology": F.when(F.col("l_linestatus") == "F", F.lit("Dry")),
         "LsvOrdered": F.col("l_extendedprice"),
         "LsvConfirmed": F.col("l_extendedprice") * conf_factor,
         "LsvPreSl": F.try_divide(confirmed, F.col("l_quantity")),
         "LsvPreUnderdeliver": F.col("l_extendedprice") - F.col("l_extendedprice") * conf_factor,
-        "UnitsOrdered": null_d, "UnitsConfirmed": null_d, "UnitsPreSl": null_d, "UnitsPreUnderdeliver": null_d,
+        "UnitsOrdered": 12 * F.col("l_quantity"), "UnitsConfirmed": 12 * confirmed,
+        "UnitsPreSl": F.try_divide(confirmed, F.col("l_quantity")),
+        "UnitsPreUnderdeliver": 12 * F.col("l_quantity") - 12 * confirmed,
         "Zrep": F.concat(F.lit("Z"), F.col("l_partkey")),
-        "MaterialDescription": F.lit(None).cast("string"),
+        "MaterialDescription": F.concat(F.lit("Material "), F.col("l_partkey")),
         "Status": F.col("o_orderstatus"),
         "Delivery": F.col("l_linestatus") == "F",
         "Slices": F.col("l_discount") > 0,
-        "TMSWeighted": null_d, "PerformanceClient": null_d, "PerformanceCountry": null_d,
-        "PerformanceClientPlant": null_d, "CaseFillClient": null_d, "CaseFillCountry": null_d, "SFAClient": null_d,
+        "TMSWeighted": F.col("l_tax") * F.col("l_quantity"), "PerformanceClient": 1 - F.col("l_tax"),
+        "PerformanceCountry": 1 - F.col("l_discount"), "PerformanceClientPlant": F.col("l_tax") + F.col("l_discount"),
+        "CaseFillClient": conf_factor, "CaseFillCountry": F.col("l_discount"), "SFAClient": F.col("l_tax"),
         "CurrentStatus": F.concat(F.col("l_returnflag"), F.col("l_linestatus")),
     }
     return j.select(*[cols[n].alias(n) for n in ORDER_LINE_SOURCE_COLUMNS])
@@ -160,7 +156,7 @@ def order_items(spark: SparkSession, d: str) -> DataFrame:
     j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
     return j.select(
         F.col("l_orderkey").alias("VBELN"), F.col("l_linenumber").alias("POSNR"),
-        F.lpad(F.col("l_partkey").cast("string"), 10, "0").alias("MATNR"),
+        F.concat(F.lit("000"), F.col("l_partkey")).alias("MATNR"),
         F.lit(params.SALES_ORG).alias("VKORG"),
         F.when(F.col("p_type") == "PROMO", F.lit(9)).otherwise(F.lit(params.DIVISION_CODE)).alias("SPART"),
         F.col("l_orderkey").alias("BSTNK"), F.col("l_quantity").alias("KWMENG"),
@@ -172,15 +168,23 @@ def order_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def materials(spark: SparkSession, d: str) -> DataFrame:
-    """Material master (one version per part)."""
-    p = table(spark, d, "part")
+    """Material master: two versions a part, of which the second holds, and a third with the same dates for some.
+
+    Earlier versions carry another brand, technology and conversion.
+    """
+    versions = F.explode(F.sequence(F.lit(0), F.when(F.col("p_size") % 3 == 0, 2).otherwise(1))).alias("v")
+    p = table(spark, d, "part").select("*", versions)
+    p = p.select("p_partkey", "v", "p_size",
+                 F.when(F.col("v") == 1, F.col("p_type")).otherwise(F.lit("SMALL")).alias("p_type"),
+                 F.when(F.col("v") == 1, F.col("p_brand")).otherwise(F.lit("old")).alias("p_brand"))
     tech = (F.when(F.col("p_type") == "ECONOMY", F.lit("Dry")).when(F.col("p_type") == "SMALL", F.lit("Care & Treats"))
             .when(F.col("p_type") == "LARGE", F.lit("Pouch")).when(F.col("p_type") == "PROMO", F.lit(None))
             .otherwise(F.col("p_type")))
     return p.select(
         F.col("p_partkey").cast("string").alias("MATERIAL"), F.col("p_partkey").cast("string").alias("MATNR"),
-        F.lit("1990-01-01").cast("date").alias("START_DATE"), F.lit(None).cast("date").alias("VMSTD"),
-        F.lit("1990-01-01").cast("date").alias("0CREATEDON"),
+        F.when(F.col("v") == 0, F.lit("1990-01-01")).otherwise("1995-01-01").cast("date").alias("START_DATE"),
+        F.when(F.col("v") == 1, F.lit("1995-02-01").cast("date")).alias("VMSTD"),
+        F.date_add(F.lit("1990-01-01").cast("date"), F.col("v")).alias("0CREATEDON"),
         F.when(F.col("p_type") == "SMALL", F.lit("2")).when(F.col("p_type") == "LARGE", F.lit(None))
          .otherwise(F.lit("1")).cast("string").alias("UOM_PC2Case"),
         F.col("p_brand").alias("Brand"), tech.alias("Technology"))
@@ -194,23 +198,23 @@ def calendar(spark: SparkSession, d: str) -> DataFrame:
     return generate_calendar(span)
 
 
-def stock(spark: SparkSession, d: str, as_of: str = params.AS_OF) -> DataFrame:
-    """Stock snapshots per (warehouse, part) up to the run date."""
-    j = _lines_with_region(spark, d).where(F.col("l_shipdate").cast("date") <= F.lit(as_of).cast("date"))
+def stock(spark: SparkSession, d: str) -> DataFrame:
+    """Stock snapshots per (warehouse, part)."""
+    j = _lines_with_region(spark, d)
     return j.select(F.col("n_regionkey").alias("WAREHOUSE"), F.col("l_partkey").cast("string").alias("MATERIAL_CODE"),
                     F.col("l_shipdate").cast("date").alias("DAY"), (1 + F.col("l_linenumber")).cast("double").alias("TMS"),
-                    (10 * F.col("l_quantity")).alias("FREE_STOCK"))
+                    (2 * F.col("l_quantity")).alias("FREE_STOCK"))
 
 
 def forecast(spark: SparkSession, d: str) -> DataFrame:
-    """Weekly forecast per (warehouse, part), valid from 13 weeks to 1 week before the week."""
+    """Forecast per (warehouse, part) for the week after each shipment, valid from 13 weeks before it to 4 weeks after."""
     planned = F.col("l_shipdate").cast("date")
-    lab = fiscal_labels_of(planned)
+    lab = fiscal_labels_of(F.date_add(planned, 7))
     week = fiscal_week_key(lab["MarsYear"], lab["MarsPeriodName"], lab["MarsWeekName"])
     return _lines_with_region(spark, d).select(
         F.col("n_regionkey").alias("PLANT"), F.col("l_partkey").cast("string").alias("MATERIAL_CODE"),
         week.alias("MARS_WEEK"), F.date_add(planned, -91).alias("F_STARTDATE"),
-        F.date_add(planned, -7).alias("F_ENDDATE"), F.col("l_quantity").alias("FORECAST_CASES"))
+        F.date_add(planned, 28).alias("F_ENDDATE"), F.col("l_quantity").alias("FORECAST_CASES"))
 
 
 def transport(spark: SparkSession, d: str) -> DataFrame:

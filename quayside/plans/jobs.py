@@ -2,7 +2,9 @@
 
 ``open_order_decisions`` (entry 1) and ``material_dimension_job`` (entry 2)
 take their inputs as DataFrames and return the final typed DataFrame; the
-``run_*`` functions add reading and writing.  Shared sub-results (flagged
+``run_*`` functions add the write, and ``open_order_job`` and
+``material_dimension_job_from`` start from dataset paths: they read through
+the readers, check the input contracts, run, write, and read the result back.  Shared sub-results (flagged
 order lines, prepared materials, the last line per order material) are built
 once and referenced by every branch, so Spark can reuse their exchanges.
 """
@@ -10,14 +12,17 @@ once and referenced by every branch, so Spark can reuse their exchanges.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as op
 from ..functions.units import DRY_BRANDS, technology_rules
-from ..session import checkpoint_dir
+from ..session import apply_job_conf, checkpoint_dir
+from ..sources.readers import (assert_types, assert_unique, inline_relation, read_csv, read_delta, read_history,
+                               read_snapshot)
+from ..sources.sinks import write_bounded, write_overwrite
 
 
 @dataclass
@@ -39,14 +44,15 @@ class OpenOrderInputs:
 class OpenOrderParams:
     as_of: str
     warehouses: Sequence
-    org: object = 261
-    division: object = 5
+    org: object
+    division: object
+    transport_division: str
     price_tolerance: float = 0.02
     dry_brands: Sequence[str] = DRY_BRANDS
-    transport_division: str = "Petcare"
     coefficient: float = 0.5
     horizon: int = 56
     divisor: int = 56
+    later_back: int = 2
 
 
 class OpenOrderBranches:
@@ -132,7 +138,8 @@ class OpenOrderBranches:
         return self._get("quota", lambda: op.quota_exceeded(self.inp.quotas, self.prm.as_of))
 
     def later_alert(self):
-        return self._get("later", lambda: op.quota_in_later_order(self.shared_lines(), self.prm.as_of))
+        return self._get("later", lambda: op.quota_in_later_order(
+            self.shared_lines(), self.prm.as_of, back=self.prm.later_back))
 
     def decisions(self, with_donor: bool = False):
         return op.merge_decisions(
@@ -141,9 +148,9 @@ class OpenOrderBranches:
             donor_alert=self.donor_alert() if with_donor else None)
 
 
-def open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, persist: bool = False) -> DataFrame:
+def open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams) -> DataFrame:
     """Entry 1: one typed row per open order line with its decision (lazy)."""
-    return op.typed_output(OpenOrderBranches(inp, prm, persist).decisions())
+    return op.typed_output(OpenOrderBranches(inp, prm).decisions())
 
 
 @dataclass
@@ -162,12 +169,12 @@ class DimensionInputs:
 
 
 def material_dimension_job(inp: DimensionInputs, prefixes=("PLANT", "SHIPPING_POINT"), created_from="2019-12-29",
-                           issued_from="2020-01-01", audit: bool = True) -> DataFrame:
+                           issued_from="2020-01-01", audit: bool = True, history: bool = False) -> DataFrame:
     """Entry 2: the material dimension."""
     sites = op.active_sites(inp.address, inp.address_type, prefixes)
     shipped = op.shipped_materials(inp.shipments, sites, created_from, issued_from)
     return op.material_dimension(inp.attr_history, shipped, inp.units, inp.material_text, inp.uom_text,
-                                 inp.brand_text, inp.segment_text, inp.classes, inp.class_values, audit=audit)
+                                 inp.brand_text, inp.segment_text, inp.classes, inp.class_values, audit=audit, history=history)
 
 
 def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_path: str,
@@ -180,8 +187,7 @@ def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_
     the sources: caching the wide lines in memory was measured slower (sf0.1,
     25 s without vs 30 s with an eagerly filled cache).
     """
-    from ..sources.sinks import write_overwrite
-    spark = inp.lines.sparkSession
+    spark = apply_job_conf(inp.lines.sparkSession)
     if checkpoint is None:
         checkpoint = bool(spark.conf.get("spark.checkpoint.dir", None)
                           or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
@@ -193,5 +199,99 @@ def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_
 
 
 def run_material_dimension(inp: DimensionInputs, target_path: str, files: int = 2, **kw) -> None:
-    from ..sources.sinks import write_bounded
+    """Entry 2 with its write in ``files`` files."""
+    apply_job_conf(inp.address.sparkSession)
     write_bounded(material_dimension_job(inp, **kw), target_path, files)
+
+
+# -- from dataset paths ---------------------------------------------------------
+
+@dataclass
+class OpenOrderPaths:
+    """Folders of the decision job's datasets; ``transit`` is CSV, the rest Parquet."""
+    lines: str
+    sales_orders: str
+    items: str
+    materials: str
+    calendar: str
+    stock: str
+    forecast: str
+    transport: str
+    transit: str
+    quotas: str
+
+
+@dataclass
+class DimensionPaths:
+    address: str
+    address_type: str
+    shipments: str
+    attr_history: str
+    units: str
+    material_text: str
+    uom_text: str
+    brand_text: str
+    segment_text: str
+    classes: str
+    class_values: str
+
+
+# Columns whose type the contracts name.
+OPEN_ORDER_TYPES = {
+    "lines": {"FactPlanBillingDate": "date", "OrderProcessingDate": "date", "OrderCreationDate": "date"},
+    "materials": {"START_DATE": "date"},
+    "calendar": {"OriginalDate": "date"},
+    "stock": {"DAY": "date"},
+    "forecast": {"F_STARTDATE": "date", "F_ENDDATE": "date"},
+    "transport": {"Delivery_ActualGI__DTTM": "date"},
+    "quotas": {"ForecastVersionStartDate": "date", "ForecastVersionEndDate": "date"},
+}
+DIMENSION_TYPES = {"shipments": {"WADAT_IST": "date"}, "attr_history": {"LAEDA": "date", "LOAD_DATE": "date"}}
+DIMENSION_KEYS = {"uom_text": ["CHRCOD"], "brand_text": ["CHRCOD_PK"], "segment_text": ["CHRCOD_PK"],
+                  "classes": ["MATNR_PK"], "class_values": ["ATWRT_PK"], "material_text": ["MATNR", "SPRAS"]}
+
+
+def read_open_order_inputs(spark: SparkSession, paths: OpenOrderPaths, donor_pairs: Sequence[tuple],
+                           warehouse_type: str = "string") -> OpenOrderInputs:
+    """The decision job's inputs from their folders, with the contracts' types checked."""
+    read = {"materials": read_history, "stock": read_history, "quotas": read_delta}
+    tables = {f.name: read.get(f.name, read_snapshot)(spark, getattr(paths, f.name))
+              for f in fields(paths) if f.name != "transit"}
+    for name, types in OPEN_ORDER_TYPES.items():
+        assert_types(tables[name], types, name)
+    transit = read_csv(spark, paths.transit,
+                       f"from2 {warehouse_type}, to4 {warehouse_type}, Tech string, TransitQIdays string")
+    pairs = inline_relation(spark, donor_pairs, f"SourcePlant {warehouse_type}, DonorPlant {warehouse_type}")
+    return OpenOrderInputs(**tables, transit=transit, donor_pairs=pairs)
+
+
+def open_order_job(spark: SparkSession, paths: OpenOrderPaths, prm: OpenOrderParams, donor_pairs: Sequence[tuple],
+                   target_path: str, warehouse_type: str = "string") -> DataFrame:
+    """Entry 1 from paths to a written result, which is returned as read back.
+
+    Raises if a contract's type differs or if the quota alert or the routes
+    have more than one row a key (they would multiply order lines).
+    """
+    apply_job_conf(spark)
+    inp = read_open_order_inputs(spark, paths, donor_pairs, warehouse_type)
+    assert_unique(inp.transit, ["from2", "to4", "Tech"], "transit")
+    assert_unique(op.quota_exceeded(inp.quotas, prm.as_of), ["Alert4_Material", "Alert4_Customer"], "quota alert")
+    run_open_order_decisions(inp, prm, target_path)
+    return read_snapshot(spark, target_path)
+
+
+def material_dimension_job_from(spark: SparkSession, paths: DimensionPaths, target_path: str, files: int = 2,
+                                **kw) -> DataFrame:
+    """Entry 2 from paths to a written result, which is returned as read back.
+
+    Raises if a contract's type differs or a lookup has more than one row a key.
+    """
+    apply_job_conf(spark)
+    read = {"address": read_delta, "address_type": read_delta, "attr_history": read_history, "units": read_history}
+    inp = DimensionInputs(**{f.name: read.get(f.name, read_snapshot)(spark, getattr(paths, f.name)) for f in fields(paths)})
+    for name, types in DIMENSION_TYPES.items():
+        assert_types(getattr(inp, name), types, name)
+    for name, keys in DIMENSION_KEYS.items():
+        assert_unique(getattr(inp, name), keys, name)
+    run_material_dimension(inp, target_path, files, **kw)
+    return read_snapshot(spark, target_path)

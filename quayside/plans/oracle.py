@@ -20,6 +20,11 @@ def s(text: str) -> str:
     return " || chr(10) || ".join(parts) if len(parts) > 1 else parts[0]
 
 
+def exact(x: str, over: str = "") -> str:
+    """The sum of doubles through their shortest decimals, so that the order of rows does not matter."""
+    return f"CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 15))) {over} AS DOUBLE)"
+
+
 AS_OF = f"DATE '{P.AS_OF}'"
 WH = ", ".join(str(w) for w in P.WAREHOUSES)
 PAIRS = ", ".join(f"({a}, {b})" for a, b in P.DONOR_PAIRS)
@@ -42,6 +47,7 @@ def fiscal(d: str) -> dict[str, str]:
 
 PLANNED = "CAST(l.l_shipdate AS DATE)"
 FP = fiscal(PLANNED)
+FNEXT = fiscal(f"({PLANNED} + 7)")
 CONFIRMED = "ROUND(l.l_quantity * (1 - 10 * l.l_discount), 2)"
 
 CTES: dict[str, tuple[list[str], str]] = {
@@ -67,18 +73,19 @@ CTES: dict[str, tuple[list[str], str]] = {
                CAST(dayofyear({PLANNED}) AS INTEGER) AS MarsDay,
                CAST(o.o_custkey AS VARCHAR) || '-' || CAST(l.l_partkey AS VARCHAR) AS CustomerProductId,
                o.o_orderstatus AS Division, l.s_name AS CustomerDc, CAST(l.s_nationkey AS VARCHAR) AS CustomerDcCode,
-               l.n_name AS Region, CAST(NULL AS VARCHAR) AS Technology,
+               l.n_name AS Region, CASE WHEN l.l_linestatus = 'F' THEN 'Dry' END AS Technology,
                l.l_extendedprice AS LsvOrdered, l.l_extendedprice * (1 - 10 * l.l_discount) AS LsvConfirmed,
                {CONFIRMED} / NULLIF(l.l_quantity, 0) AS LsvPreSl,
                l.l_extendedprice - l.l_extendedprice * (1 - 10 * l.l_discount) AS LsvPreUnderdeliver,
-               CAST(NULL AS DOUBLE) AS UnitsOrdered, CAST(NULL AS DOUBLE) AS UnitsConfirmed,
-               CAST(NULL AS DOUBLE) AS UnitsPreSl, CAST(NULL AS DOUBLE) AS UnitsPreUnderdeliver,
-               'Z' || CAST(l.l_partkey AS VARCHAR) AS Zrep, CAST(NULL AS VARCHAR) AS MaterialDescription,
+               12 * l.l_quantity AS UnitsOrdered, 12 * {CONFIRMED} AS UnitsConfirmed,
+               {CONFIRMED} / NULLIF(l.l_quantity, 0) AS UnitsPreSl,
+               12 * l.l_quantity - 12 * {CONFIRMED} AS UnitsPreUnderdeliver,
+               'Z' || CAST(l.l_partkey AS VARCHAR) AS Zrep, 'Material ' || CAST(l.l_partkey AS VARCHAR) AS MaterialDescription,
                o.o_orderstatus AS Status, l.l_linestatus = 'F' AS Delivery, l.l_discount > 0 AS Slices,
-               CAST(NULL AS DOUBLE) AS TMSWeighted, CAST(NULL AS DOUBLE) AS PerformanceClient,
-               CAST(NULL AS DOUBLE) AS PerformanceCountry, CAST(NULL AS DOUBLE) AS PerformanceClientPlant,
-               CAST(NULL AS DOUBLE) AS CaseFillClient, CAST(NULL AS DOUBLE) AS CaseFillCountry,
-               CAST(NULL AS DOUBLE) AS SFAClient, l.l_returnflag || l.l_linestatus AS CurrentStatus
+               l.l_tax * l.l_quantity AS TMSWeighted, 1 - l.l_tax AS PerformanceClient,
+               1 - l.l_discount AS PerformanceCountry, l.l_tax + l.l_discount AS PerformanceClientPlant,
+               1 - 10 * l.l_discount AS CaseFillClient, l.l_discount AS CaseFillCountry,
+               l.l_tax AS SFAClient, l.l_returnflag || l.l_linestatus AS CurrentStatus
         FROM lr l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey"""),
     "soh": ([], """
         SELECT l.l_orderkey AS SALESORDERID, l.l_linenumber AS POSITION_NUMBER,
@@ -92,7 +99,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         WHERE (REJECTIONREASON_TYPE NOT IN ('GOOD', 'DELETED') OR REJECTIONREASON_TYPE IS NULL)
           AND SALESORDERTYPE IN ('ZIC1', 'ZOR') AND NOT GISTATUS"""),
     "items": ([], f"""
-        SELECT l.l_orderkey AS VBELN, l.l_linenumber AS POSNR, lpad(CAST(l.l_partkey AS VARCHAR), 10, '0') AS MATNR,
+        SELECT l.l_orderkey AS VBELN, l.l_linenumber AS POSNR, '000' || CAST(l.l_partkey AS VARCHAR) AS MATNR,
                {P.SALES_ORG} AS VKORG, CASE WHEN p.p_type = 'PROMO' THEN 9 ELSE {P.DIVISION_CODE} END AS SPART,
                l.l_orderkey AS BSTNK, l.l_quantity AS KWMENG, 1.0 AS UMVKZ,
                CASE WHEN l.l_tax = 0 THEN 0.0 ELSE 1.0 END AS UMVKN,
@@ -101,12 +108,15 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""),
     "mat_src": ([], """
         SELECT CAST(p_partkey AS VARCHAR) AS MATERIAL, CAST(p_partkey AS VARCHAR) AS MATNR,
-               DATE '1990-01-01' AS START_DATE, CAST(NULL AS DATE) AS VMSTD, DATE '1990-01-01' AS "0CREATEDON",
+               CASE WHEN v = 0 THEN DATE '1990-01-01' ELSE DATE '1995-01-01' END AS START_DATE,
+               CASE WHEN v = 1 THEN DATE '1995-02-01' END AS VMSTD, DATE '1990-01-01' + v AS "0CREATEDON",
                CASE WHEN p_type = 'SMALL' THEN '2' WHEN p_type = 'LARGE' THEN NULL ELSE '1' END AS UOM_PC2Case,
                p_brand AS Brand,
                CASE p_type WHEN 'ECONOMY' THEN 'Dry' WHEN 'SMALL' THEN 'Care & Treats' WHEN 'LARGE' THEN 'Pouch'
                            WHEN 'PROMO' THEN NULL ELSE p_type END AS Technology
-        FROM part"""),
+        FROM (SELECT p_partkey, CAST(v AS INTEGER) AS v, CASE WHEN v = 1 THEN p_type ELSE 'SMALL' END AS p_type,
+                     CASE WHEN v = 1 THEN p_brand ELSE 'old' END AS p_brand
+              FROM part, (VALUES (0), (1), (2)) n(v) WHERE v < 2 OR p_size % 3 = 0)"""),
     "mat": (["mat_src"], f"""
         SELECT MATERIAL, MATNR, Brand, Technology, TRY_CAST(UOM_PC2Case AS INTEGER) AS UOM_PC2Case,
                CASE WHEN Brand IN ({DRY}) THEN 'DRY' WHEN Technology = 'Dry' THEN 'DRY'
@@ -147,22 +157,20 @@ CTES: dict[str, tuple[list[str], str]] = {
                f.MarsWeekFullName
         FROM flagged f
         JOIN (SELECT SalesOrderId, AVG(CASE WHEN CsPreSl < 1 THEN 0 ELSE 1 END) AS svc,
-                     COALESCE(SUM(CAST(CASE WHEN (Allocation IS NULL OR AllocationAvailable = 0)
-                                                 AND FlagPriceDisagreement IS NULL THEN CUT_QTY_PALLET END
-                                            AS DECIMAL(38, 6)))
-                              / NULLIF(SUM(CAST(AGREED_ORDEREDQTY_PALLET AS DECIMAL(38, 6))), 0), 0) AS share
+                     COALESCE({exact("CASE WHEN (Allocation IS NULL OR AllocationAvailable = 0) AND FlagPriceDisagreement IS NULL THEN CUT_QTY_PALLET END")}
+                              / NULLIF({exact("AGREED_ORDEREDQTY_PALLET")}, 0), 0) AS share
               FROM flagged GROUP BY SalesOrderId) a ON a.SalesOrderId = f.SalesOrderId
         WHERE a.svc < 1 AND f.MarsDc IN ({WH}) AND f.OrderProcessingDate <= {AS_OF} + 5 AND a.share >= 0.3"""),
     "st": (["lr"], f"""
         SELECT l.n_regionkey AS WAREHOUSE, CAST(l.l_partkey AS VARCHAR) AS MATERIAL_CODE, {PLANNED} AS DAY,
-               CAST(1 + l.l_linenumber AS DOUBLE) AS TMS, 10 * l.l_quantity AS FREE_STOCK
-        FROM lr l WHERE {PLANNED} <= {AS_OF}"""),
+               CAST(1 + l.l_linenumber AS DOUBLE) AS TMS, 2 * l.l_quantity AS FREE_STOCK
+        FROM lr l"""),
     "ls": (["st"], """
         SELECT * FROM st QUALIFY row_number() OVER (PARTITION BY WAREHOUSE, MATERIAL_CODE
                                                    ORDER BY DAY DESC, FREE_STOCK DESC, TMS DESC) = 1"""),
     "fc": (["lr"], f"""
-        SELECT l.n_regionkey AS PLANT, CAST(l.l_partkey AS VARCHAR) AS MATERIAL_CODE, {FP['week_key']} AS MARS_WEEK,
-               {PLANNED} - 91 AS F_STARTDATE, {PLANNED} - 7 AS F_ENDDATE, l.l_quantity AS FORECAST_CASES
+        SELECT l.n_regionkey AS PLANT, CAST(l.l_partkey AS VARCHAR) AS MATERIAL_CODE, {FNEXT['week_key']} AS MARS_WEEK,
+               {PLANNED} - 91 AS F_STARTDATE, {PLANNED} + 28 AS F_ENDDATE, l.l_quantity AS FORECAST_CASES
         FROM lr l"""),
     "demand": (["ls", "cal", "fc"], """
         SELECT WAREHOUSE, MATERIAL_CODE, DAY, TMS, FREE_STOCK, SUM(fcd) AS total, SUM(fcd) / 56 AS per_day
@@ -181,9 +189,9 @@ CTES: dict[str, tuple[list[str], str]] = {
                     THEN 1 ELSE 0 END AS AlertForGRD
         FROM (SELECT t.*, p.DonorPlant FROM targets t LEFT JOIN pairs p ON t.MarsDc = p.SourcePlant) e
         LEFT JOIN demand d ON d.WAREHOUSE = e.DonorPlant AND d.MATERIAL_CODE = e.Material"""),
-    "feas": (["cov"], """
-        SELECT c5.*, SUM(CsConfirmed) OVER (PARTITION BY SalesOrderId)
-                     / NULLIF(SUM(CsOrdered) OVER (PARTITION BY SalesOrderId), 0) AS CsPreSlSalesOrder
+    "feas": (["cov"], f"""
+        SELECT c5.*, {exact("CsConfirmed", "OVER (PARTITION BY SalesOrderId)")}
+                     / NULLIF({exact("CsOrdered", "OVER (PARTITION BY SalesOrderId)")}, 0) AS CsPreSlSalesOrder
         FROM (SELECT c3.*, COUNT(c3.Material) OVER (PARTITION BY c3.SalesOrderId, c3.DonorPlant) AS cd, u.cu
               FROM (SELECT * FROM (SELECT c1.*, COUNT(Material) OVER (PARTITION BY SalesOrderId) AS cnt,
                                           SUM(anyA) OVER (PARTITION BY SalesOrderId) AS sm
@@ -198,6 +206,21 @@ CTES: dict[str, tuple[list[str], str]] = {
                           WHERE sm = cnt AND AlertForGRD = 1) c3b
                     GROUP BY SalesOrderId) u ON u.SalesOrderId = c3.SalesOrderId) c5
         WHERE cd = cu"""),
+    "bd": (["feas"], f"""
+        SELECT SalesOrderId,
+               {s(texts.DONOR_PARTS[0])} || donors || {s(texts.DONOR_PARTS[1])}
+               || CAST(CAST(ROUND((1 - CsPreSlSalesOrder) * 100, 0) AS INTEGER) AS VARCHAR) || {s(texts.DONOR_PARTS[2])}
+               AS Alert, 6 AS AlertPriority
+        FROM (SELECT SalesOrderId, CsPreSlSalesOrder,
+                     string_agg(CAST(DonorPlant AS VARCHAR), {s(texts.DONOR_SEPARATOR)} ORDER BY CAST(DonorPlant AS VARCHAR))
+                       AS donors
+              FROM (SELECT * FROM (SELECT SalesOrderId, CsPreSlSalesOrder, MarsDc, DonorPlant, COUNT(*) AS n
+                                   FROM (SELECT * FROM feas QUALIFY row_number() OVER (
+                                             PARTITION BY SalesOrderId, Material
+                                             ORDER BY FREE_STOCK DESC NULLS LAST, DonorPlant ASC, MarsDc ASC) = 1)
+                                   GROUP BY 1, 2, 3, 4)
+                    QUALIFY dense_rank() OVER (PARTITION BY SalesOrderId ORDER BY n DESC) = 1)
+              GROUP BY 1, 2)"""),
     "tr": (["lr"], f"""
         SELECT CASE WHEN l.l_returnflag = 'R' THEN 'Other' ELSE '{P.TRANSPORT_DIVISION}' END AS Division,
                {PLANNED} AS Delivery_ActualGI__DTTM, CAST(l.l_partkey AS VARCHAR) AS GRD,
@@ -262,7 +285,7 @@ CTES: dict[str, tuple[list[str], str]] = {
                || {s(texts.LATER_ORDER_SEPARATOR)} || {s(texts.LATER_ORDER_TRAILER)} AS Alert,
                3 AS AlertPriority
         FROM (SELECT * FROM lastline WHERE Allocation = TRUE AND CsConfirmed = 0
-                                       AND OrderProcessingDate >= {AS_OF} - 2) a
+                                       AND OrderProcessingDate >= {AS_OF} - {P.LATER_BACK}) a
         JOIN (SELECT * FROM lastline WHERE FactPlanBillingDate > {AS_OF} + 4 AND CsConfirmed > 0) t
           ON a.SoldTo = t.SoldTo AND a.Material = t.Material AND a.SalesOrderId <> t.SalesOrderId
          AND a.OrderCreationDate >= t.OrderCreationDate AND a.FactPlanBillingDate + 1 < t.FactPlanBillingDate
@@ -344,12 +367,14 @@ CTES: dict[str, tuple[list[str], str]] = {
                      COUNT(*) AS DI_SEQUENCE_NUMBER
               FROM lineitem GROUP BY 1, 2) g
         JOIN part p ON g.l_partkey = p.p_partkey"""),
-    "an": (["ah"], """
+    "an_all": (["ah"], """
         SELECT *,
                CASE MEABM WHEN 'MM' THEN LAENG / 10 WHEN 'M' THEN LAENG * 100 WHEN 'IN' THEN LAENG * 2.54 ELSE LAENG END AS LAENG_cm,
                CASE MEABM WHEN 'MM' THEN BREIT / 10 WHEN 'M' THEN BREIT * 100 WHEN 'IN' THEN BREIT * 2.54 ELSE BREIT END AS BREIT_cm,
                CASE MEABM WHEN 'MM' THEN HOEHE / 10 WHEN 'M' THEN HOEHE * 100 WHEN 'IN' THEN HOEHE * 2.54 ELSE HOEHE END AS HOEHE_cm
-        FROM ah
+        FROM ah"""),
+    "an": (["an_all"], """
+        SELECT * FROM an_all
         QUALIFY row_number() OVER (PARTITION BY MATNR_PK ORDER BY LOAD_DATE DESC NULLS LAST,
                                    DI_SEQUENCE_NUMBER DESC NULLS LAST, LAEDA DESC NULLS LAST) = 1"""),
     "mclass": ([], """
@@ -364,6 +389,9 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT c.MATNR_PK, c.UDCTECH001, v.TEXT FROM mclass c JOIN cvals v ON v.ATWRT_PK = c.UDCTECH001"""),
 }
 
+# later orders as seen from an earlier run date, at which many lines lie ahead
+CTES["lo_early"] = (CTES["lo"][0], CTES["lo"][1].replace(AS_OF, f"DATE '{P.LATER_AS_OF}'"))
+
 
 def with_ctes(final: str, *needs: str) -> str:
     """Prefix ``final`` with the CTEs it needs (dependencies first)."""
@@ -405,6 +433,34 @@ def _typed_output_sql() -> str:
     return with_ctes("SELECT " + ", ".join(cols) + " FROM dec", "dec")
 
 
+DIMENSION = """
+        SELECT a.MATNR_PK AS Material_Code__PK, a.ZZREPMATNR AS Material_ZREP, uo.VTEXT AS Material_UnitOfMeasure,
+               a.MEINS AS Material_BaseUnitOfMeasure, TRY_CAST(up.ST_UMREN AS INTEGER) AS Material_PC2Case,
+               mt.TXTMD AS Material_Description, bt.VTEXT AS Brand_Name, ct.TEXT AS Technology_Name,
+               sg.VTEXT AS Segment_Name,
+               CAST(CASE WHEN a.GEWEI = 'G' THEN a.NTGEW / 1000 ELSE a.NTGEW END AS FLOAT) AS Material_NetWeight__UOM,
+               CAST(CASE WHEN a.GEWEI = 'G' THEN a.BRGEW / 1000 ELSE a.BRGEW END AS FLOAT) AS Material_GrossWeight__UOM,
+               a.LAENG_cm * a.BREIT_cm * a.HOEHE_cm AS Material_Volume__UOM,
+               a.MTART AS Material_Type, a.SPART AS BusinessSegment_Code,
+               CASE WHEN LAG(a.LAEDA) OVER w IS NULL THEN DATE '2000-01-01' ELSE a.LAEDA END AS Material_StartDate__PK,
+               CASE WHEN LEAD(a.LAEDA) OVER w IS NULL THEN DATE '9999-12-31' ELSE LEAD(a.LAEDA) OVER w - 1 END
+                 AS Material_EndDate,
+               TRY_CAST(up.SB_UMREN AS INTEGER) AS Material_ShowBox__UOM,
+               CAST(CASE WHEN up.ST_GEWEI = 'KG' THEN up.ST_ZZNTGEW * 1000 ELSE up.ST_ZZNTGEW END AS DOUBLE)
+                 AS Material_PieceNetWeight__UOM,
+               a.ZZCLF03 AS Brand_Code, ct.UDCTECH001 AS Tech_Code
+        FROM {loads} a
+        JOIN shipped sm ON sm.MATNR = a.MATNR_PK
+        LEFT JOIN (SELECT DISTINCT split_part(p_name, ' ', 1) AS CHRCOD, upper(split_part(p_name, ' ', 1)) AS VTEXT
+                   FROM part) uo ON uo.CHRCOD = a.ZZCLF20
+        LEFT JOIN up ON up.MATNR = a.MATNR_PK
+        LEFT JOIN (SELECT CAST(p_partkey AS VARCHAR) AS MATNR, p_name AS TXTMD FROM part WHERE p_size <= 45) mt
+               ON mt.MATNR = a.MATNR_PK
+        LEFT JOIN (SELECT DISTINCT p_brand AS CHRCOD_PK, upper(p_brand) AS VTEXT FROM part) bt ON bt.CHRCOD_PK = a.ZZCLF03
+        LEFT JOIN ctext ct ON ct.MATNR_PK = a.MATNR_PK
+        LEFT JOIN (SELECT DISTINCT p_type AS CHRCOD_PK, lower(p_type) AS VTEXT FROM part) sg ON sg.CHRCOD_PK = a.ZZCLF02
+        WINDOW w AS (PARTITION BY a.MATNR_PK ORDER BY a.LAEDA NULLS FIRST, a.LOAD_DATE NULLS FIRST, a.DI_SEQUENCE_NUMBER NULLS FIRST)"""
+
 SQL: dict[str, str] = {
     "latest_event": """
         SELECT user_id, event_id, event_type, value FROM events
@@ -443,7 +499,7 @@ SQL: dict[str, str] = {
     "valid_at": with_ctes("SELECT * FROM qa", "qa"),
     "arrivals": with_ctes("SELECT * FROM arr", "arr"),
     "restock_asof": with_ctes("SELECT * FROM sa", "sa"),
-    "later_order": with_ctes("SELECT * FROM lo", "lo"),
+    "later_order": with_ctes("SELECT * FROM lo_early", "lo_early"),
     "donor_cover": with_ctes("""
         SELECT SalesOrderId, Material, MarsDc, FactPlanBillingDate, CsOrdered, DonorPlant, TMS, FREE_STOCK,
                ROUND(per_day, 6) AS DAILY_DEMAND, AlertForGRD FROM cov""", "cov"),
@@ -451,21 +507,7 @@ SQL: dict[str, str] = {
         SELECT SalesOrderId, Material, FactPlanBillingDate, CsOrdered, DonorPlant,
                CAST(cd AS BIGINT) AS CountMaterialsInDonorPlant, CAST(cu AS INTEGER) AS CountUniqueMaterialsInSalesorder,
                ROUND(CsPreSlSalesOrder, 6) AS CsPreSlSalesOrder FROM feas""", "feas"),
-    "best_donor": with_ctes(f"""
-        SELECT SalesOrderId,
-               {s(texts.DONOR_PARTS[0])} || donors || {s(texts.DONOR_PARTS[1])}
-               || CAST(CAST(ROUND((1 - CsPreSlSalesOrder) * 100, 0) AS INTEGER) AS VARCHAR) || {s(texts.DONOR_PARTS[2])}
-               AS Alert, 6 AS AlertPriority
-        FROM (SELECT SalesOrderId, CsPreSlSalesOrder,
-                     string_agg(CAST(DonorPlant AS VARCHAR), {s(texts.DONOR_SEPARATOR)} ORDER BY CAST(DonorPlant AS VARCHAR))
-                       AS donors
-              FROM (SELECT * FROM (SELECT SalesOrderId, CsPreSlSalesOrder, MarsDc, DonorPlant, COUNT(*) AS n
-                                   FROM (SELECT * FROM feas QUALIFY row_number() OVER (
-                                             PARTITION BY SalesOrderId, Material
-                                             ORDER BY FREE_STOCK DESC NULLS LAST, DonorPlant ASC, MarsDc ASC) = 1)
-                                   GROUP BY 1, 2, 3, 4)
-                    QUALIFY dense_rank() OVER (PARTITION BY SalesOrderId ORDER BY n DESC) = 1)
-              GROUP BY 1, 2)""", "feas"),
+    "best_donor": with_ctes("SELECT * FROM bd", "bd"),
     "attach_flag": with_ctes(f"""
         SELECT {LINE_KEY}, PurchaseOrderId, FlagPriceDisagreement, AlertPriceDisagreement FROM flagged""", "flagged"),
     "discontinued": with_ctes(f"""
@@ -480,7 +522,13 @@ SQL: dict[str, str] = {
     "decisions": with_ctes(f"""
         SELECT {LINE_KEY}, Customer, FlagFinal AS FlagPriceDisagreement, Decision, DecisionDescription, Brand
         FROM dec""", "dec"),
+    "decisions_with_donor": with_ctes(f"""
+        SELECT {", ".join("dec." + c.strip() for c in LINE_KEY.split(","))}, dec.Decision, dec.DecisionDescription,
+               bd.Alert AS DonorAlert, bd.AlertPriority AS DonorAlertPriority
+        FROM dec LEFT JOIN bd ON dec.SalesOrderId = bd.SalesOrderId""", "dec", "bd"),
     "typed_output": _typed_output_sql(),
+    "decisions_from_files": _typed_output_sql(),
+    "dimension_from_files": with_ctes(DIMENSION.format(loads="an"), "an", "shipped", "up", "ctext"),
     "active_sites": with_ctes("SELECT * FROM sites", "sites"),
     "shipped_materials": with_ctes("SELECT MATNR FROM shipped", "shipped"),
     "unit_pivot": with_ctes("SELECT * FROM up", "up"),
@@ -491,31 +539,6 @@ SQL: dict[str, str] = {
         FROM (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS odate FROM orders)
         WINDOW w AS (PARTITION BY o_custkey ORDER BY odate, o_orderkey)""",
     "coded_text": with_ctes("SELECT * FROM ctext", "ctext"),
-    "material_dimension": with_ctes("""
-        SELECT a.MATNR_PK AS Material_Code__PK, a.ZZREPMATNR AS Material_ZREP, uo.VTEXT AS Material_UnitOfMeasure,
-               a.MEINS AS Material_BaseUnitOfMeasure, TRY_CAST(up.ST_UMREN AS INTEGER) AS Material_PC2Case,
-               mt.TXTMD AS Material_Description, bt.VTEXT AS Brand_Name, ct.TEXT AS Technology_Name,
-               sg.VTEXT AS Segment_Name,
-               CAST(CASE WHEN a.GEWEI = 'G' THEN a.NTGEW / 1000 ELSE a.NTGEW END AS FLOAT) AS Material_NetWeight__UOM,
-               CAST(CASE WHEN a.GEWEI = 'G' THEN a.BRGEW / 1000 ELSE a.BRGEW END AS FLOAT) AS Material_GrossWeight__UOM,
-               a.LAENG_cm * a.BREIT_cm * a.HOEHE_cm AS Material_Volume__UOM,
-               a.MTART AS Material_Type, a.SPART AS BusinessSegment_Code,
-               CASE WHEN LAG(a.LAEDA) OVER w IS NULL THEN DATE '2000-01-01' ELSE a.LAEDA END AS Material_StartDate__PK,
-               CASE WHEN LEAD(a.LAEDA) OVER w IS NULL THEN DATE '9999-12-31' ELSE LEAD(a.LAEDA) OVER w - 1 END
-                 AS Material_EndDate,
-               TRY_CAST(up.SB_UMREN AS INTEGER) AS Material_ShowBox__UOM,
-               CAST(CASE WHEN up.ST_GEWEI = 'KG' THEN up.ST_ZZNTGEW * 1000 ELSE up.ST_ZZNTGEW END AS DOUBLE)
-                 AS Material_PieceNetWeight__UOM,
-               a.ZZCLF03 AS Brand_Code, ct.UDCTECH001 AS Tech_Code
-        FROM an a
-        JOIN shipped sm ON sm.MATNR = a.MATNR_PK
-        LEFT JOIN (SELECT DISTINCT split_part(p_name, ' ', 1) AS CHRCOD, upper(split_part(p_name, ' ', 1)) AS VTEXT
-                   FROM part) uo ON uo.CHRCOD = a.ZZCLF20
-        LEFT JOIN up ON up.MATNR = a.MATNR_PK
-        LEFT JOIN (SELECT CAST(p_partkey AS VARCHAR) AS MATNR, p_name AS TXTMD FROM part WHERE p_size <= 45) mt
-               ON mt.MATNR = a.MATNR_PK
-        LEFT JOIN (SELECT DISTINCT p_brand AS CHRCOD_PK, upper(p_brand) AS VTEXT FROM part) bt ON bt.CHRCOD_PK = a.ZZCLF03
-        LEFT JOIN ctext ct ON ct.MATNR_PK = a.MATNR_PK
-        LEFT JOIN (SELECT DISTINCT p_type AS CHRCOD_PK, lower(p_type) AS VTEXT FROM part) sg ON sg.CHRCOD_PK = a.ZZCLF02
-        WINDOW w AS (PARTITION BY a.MATNR_PK ORDER BY a.LAEDA)""", "an", "shipped", "up", "ctext"),
+    "material_dimension": with_ctes(DIMENSION.format(loads="an"), "an", "shipped", "up", "ctext"),
+    "material_dimension_history": with_ctes(DIMENSION.format(loads="an_all"), "an_all", "shipped", "up", "ctext"),
 }

@@ -19,4 +19,6 @@ TRANSPORT_DIVISION = "Petcare"
 SITE_PREFIXES = ("view", "click")         # address-type prefixes counted as sites
 CREATED_FROM = "1999-12-29"               # shipment items created on/after
 ISSUED_FROM = "2000-01-01"                # goods issue on/after
+LATER_AS_OF = "1997-06-30"                # run date of the later-order query
+LATER_BACK = 1500                         # days that a quota may be looked for in later orders
 CALENDAR_MARGIN_DAYS = 60                 # calendar runs this far past the last ship date

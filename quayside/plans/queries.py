@@ -9,6 +9,8 @@ order of floating-point additions does not matter in comparisons.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import fields
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,10 @@ from ..functions.calendar import fiscal_week_key
 from ..functions.exprs import strip_leading_zeros
 from . import binding as b
 from . import params as P
-from .jobs import DimensionInputs, OpenOrderBranches, OpenOrderInputs, OpenOrderParams, material_dimension_job
+from ..session import checkpoint_dir
+from ..sources.sinks import write_overwrite, write_partitions
+from .jobs import (DimensionInputs, DimensionPaths, OpenOrderBranches, OpenOrderInputs, OpenOrderParams, OpenOrderPaths,
+                   material_dimension_job, material_dimension_job_from, open_order_job)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +61,7 @@ def open_order_inputs(spark: SparkSession, d: str) -> OpenOrderInputs:
 def open_order_params() -> OpenOrderParams:
     return OpenOrderParams(as_of=P.AS_OF, warehouses=P.WAREHOUSES, org=P.SALES_ORG, division=P.DIVISION_CODE,
                            price_tolerance=P.PRICE_TOLERANCE, dry_brands=P.DRY_BRANDS,
-                           transport_division=P.TRANSPORT_DIVISION)
+                           transport_division=P.TRANSPORT_DIVISION, later_back=P.LATER_BACK)
 
 
 def branches(spark: SparkSession, d: str, persist: bool = False) -> OpenOrderBranches:
@@ -98,10 +103,7 @@ def q_price_flag(spark, d):
 
 def q_null_keeping_filter(spark, d):
     """open sales-order lines (rejection reason outside the list or NULL)."""
-    from ..functions.exprs import not_in_or_null
-    so = b.sales_orders(spark, d)
-    return so.where(not_in_or_null("REJECTIONREASON_TYPE", ["GOOD", "DELETED"])
-                    & F.col("SALESORDERTYPE").isin("ZIC1", "ZOR") & ~F.col("GISTATUS"))
+    return op.open_sales_lines(b.sales_orders(spark, d))
 
 
 def q_fiscal_week(spark, d):
@@ -187,8 +189,8 @@ def q_restock_asof(spark, d):
 
 
 def q_later_order(spark, d):
-    """C17/J14/A7/L1f: quota held in a later order of the same customer."""
-    return branches(spark, d).later_alert()
+    """C17/J14/A7/L1f: quota held in a later order of the same customer, seen from a run date with many lines ahead."""
+    return op.quota_in_later_order(b.order_lines(spark, d), P.LATER_AS_OF, back=P.LATER_BACK)
 
 
 # -- step 5 -------------------------------------------------------------------
@@ -285,6 +287,49 @@ def q_material_dimension(spark, d):
                                   issued_from=P.ISSUED_FROM, audit=False)
 
 
+def q_material_dimension_history(spark, d):
+    """C27 with every attribute load kept: several validity intervals per material."""
+    return material_dimension_job(dimension_inputs(spark, d), prefixes=P.SITE_PREFIXES, created_from=P.CREATED_FROM,
+                                  issued_from=P.ISSUED_FROM, audit=False, history=True)
+
+
+def q_decisions_with_donor(spark, d):
+    """C19 with the donor proposal merged in."""
+    dec = branches(spark, d).decisions(with_donor=True)
+    return dec.select(*LINE_KEY, "Decision", "DecisionDescription", "DonorAlert", "DonorAlertPriority")
+
+
+def _files(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> dict[str, str]:
+    """Write each table below a new folder of the shared checkpoint folder; its path by name."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    for t, df in tables.items():
+        write_overwrite(df, f"{root}/{t}")
+    return {t: f"{root}/{t}" for t in tables} | {"root": root}
+
+
+def q_decisions_from_files(spark, d):
+    """The decision job from dataset paths: its inputs written as files (routes as CSV with other columns
+    and their order changed, stock by partition) and read back by their contracts."""
+    inp = LazyOpenOrderInputs(spark, d)
+    names = [f.name for f in fields(OpenOrderPaths) if f.name not in ("transit", "stock")]
+    paths = _files(spark, "open-orders", {n: getattr(inp, n) for n in names})
+    root = paths.pop("root")
+    routes = inp.transit.select("TransitQIdays", F.lit("x").alias("note"), "Tech", "to4", "from2")
+    routes.write.option("header", "true").csv(f"{root}/transit")
+    write_partitions(inp.stock, f"{root}/stock", ["WAREHOUSE"])
+    return open_order_job(spark, OpenOrderPaths(**paths, transit=f"{root}/transit", stock=f"{root}/stock"),
+                          open_order_params(), P.DONOR_PAIRS, f"{root}/result", warehouse_type="int")
+
+
+def q_dimension_from_files(spark, d):
+    """The dimension job from dataset paths; its result is written with a bounded number of files."""
+    inp = dimension_inputs(spark, d)
+    paths = _files(spark, "dimension", {f.name: getattr(inp, f.name) for f in fields(DimensionPaths)})
+    root = paths.pop("root")
+    return material_dimension_job_from(spark, DimensionPaths(**paths), f"{root}/result", prefixes=P.SITE_PREFIXES,
+                                       created_from=P.CREATED_FROM, issued_from=P.ISSUED_FROM, audit=False)
+
+
 QUERIES: dict[str, Query] = {
     "latest_event": q_latest_event,
     "price_flag": q_price_flag,
@@ -317,4 +362,8 @@ QUERIES: dict[str, Query] = {
     "validity_interval": q_validity_interval,
     "coded_text": q_coded_text,
     "material_dimension": q_material_dimension,
+    "material_dimension_history": q_material_dimension_history,
+    "decisions_with_donor": q_decisions_with_donor,
+    "decisions_from_files": q_decisions_from_files,
+    "dimension_from_files": q_dimension_from_files,
 }

@@ -48,8 +48,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a scratch folder is created and registered.
+    On a cluster this setting points at shared storage and is used as is; if it
+    is unset there, this raises, as executors cannot share the driver's disk.
+    In local mode (tests), where driver and executors are one process, a scratch
+    folder is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
@@ -60,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="quayside-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -21,38 +21,12 @@ from pyspark.sql.types import StructType
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None,
-                 where: Column | str | None = None, min_splits: int | None = None,
-                 spread_by: Sequence[str] = ()) -> DataFrame:
-    """Parquet scan; an optional filter is pushed to the scan by Catalyst.
-
-    ``min_splits``: Parquet is split at row-group boundaries, so a small file
-    written as one row group is read by one task, and every narrow operator
-    above the scan (broadcast joins, projections, partial aggregates) runs in
-    that one task until the first shuffle.  When the scan has fewer splits
-    than ``min_splits`` its rows are spread over ``min_splits`` partitions,
-    hashed on ``spread_by`` (deterministic on retry without the local sort
-    round-robin needs) or round-robin when no column is given.  Filters and
-    column pruning still reach the scan (they pass through a repartition);
-    large inputs, which have many splits, are never redistributed.
-    """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    if min_splits and _scan_splits(spark, path, df) < min_splits:
-        df = df.repartition(min_splits, *spread_by)
+                 where: Column | str | None = None) -> DataFrame:
+    """Parquet scan; an optional filter is pushed to the scan by Catalyst."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     return df.where(where) if where is not None else df
 
 
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
-def _scan_splits(spark: SparkSession, path: str, df: DataFrame) -> int:
-    """Number of scan splits of ``path``; planned once per application and path."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return _SPLITS[key]
-
-
 def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                 **options: str) -> DataFrame:
     """Format-named scan (``spark.read.format(fmt).load(path)``)."""
@@ -62,14 +36,17 @@ def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema: St
     return reader.load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
-             sep: str = ",") -> DataFrame:
-    """S3: CSV with a header and an explicit schema.
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+    """S3: CSV with a header and an explicit schema, matched by column **name**.
 
-    Schema inference would run an extra job over the whole file and can
-    change types from one load to the next; an explicit schema is required.
+    Columns are read as text under the names in the header (no inference job),
+    then picked by name and converted; a value that does not convert is NULL,
+    a column that the header lacks is an error, others are left out.
     """
-    return spark.read.schema(schema).option("header", str(header).lower()).option("sep", sep).csv(path)
+    raw = spark.read.option("header", "true").option("sep", sep).csv(path)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    assert_columns(raw, wanted.names, path)
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -109,7 +86,20 @@ def assert_columns(df: DataFrame, required: Iterable[str], where: str = "input")
     return df
 
 
-def set_utc(spark: SparkSession) -> SparkSession:
-    """The jobs run with a UTC session time zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+def assert_types(df: DataFrame, types: dict[str, str], where: str = "input") -> DataFrame:
+    """Check the types that an input contract names (Q13, Q16; analysis time, no job)."""
+    have = dict(assert_columns(df, types, where).dtypes)
+    wrong = {c: have[c] for c, t in types.items() if have[c] != t}
+    if wrong:
+        raise TypeError(f"{where}: {wrong}, expected {({c: types[c] for c in wrong})}")
+    return df
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str], where: str = "lookup") -> DataFrame:
+    """Check that ``keys`` name at most one row (Q15): one aggregation, which stops at the first repeat."""
+    twice = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{where}: {keys} repeats: {twice[0].asDict()}")
+    return df
+
+

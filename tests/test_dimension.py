@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from quayside.operators import (active_sites, coded_text_lookup, material_dimension, normalize_units,
                                 shipped_materials, unit_pivot, validity_interval)
 from tests.conftest import rows
@@ -65,6 +67,16 @@ def test_validity_interval_with_equal_dates(spark):
                    ("k", 2, D(2020, 3, 1), D(2020, 2, 29)), ("k", 3, D(2020, 3, 1), D(9999, 12, 31))]
 
 
+def test_validity_interval_without_dates(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", None, 2), ("k", D(2020, 3, 1), 3), ("j", None, 1)],
+                               "key string, d date, tb int")
+    got = rows(validity_interval(df, ["key"], "d", tie_break=["tb"]), "key", "tb", "StartDate", "EndDate")
+    assert got == [("j", 1, D(2000, 1, 1), D(9999, 12, 31)), ("k", 1, D(2000, 1, 1), D(9999, 12, 31)),
+                   ("k", 2, D(2000, 1, 1), D(2020, 2, 29)), ("k", 3, D(2000, 1, 1), D(9999, 12, 31))]
+    with pytest.raises(ValueError):
+        validity_interval(df, ["key"], "d", tie_break=[])
+
+
 def test_coded_text_and_dimension_weights(spark):
     classes = spark.createDataFrame([("m", "T1"), ("n", "T9")], "MATNR_PK string, UDCTECH001 string")
     values = spark.createDataFrame([("T1", "Tech one")], "ATWRT_PK string, TEXT string")

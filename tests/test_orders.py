@@ -76,3 +76,16 @@ def test_best_donor_ties_keep_all(spark):
     ], "SalesOrderId bigint, Material string, MarsDc int, DonorPlant int, FREE_STOCK double, CsPreSlSalesOrder double")
     out = {r["SalesOrderId"]: r["Alert"] for r in best_donor(feas, separator=" or ", parts=("to ", " gain ", "%")).collect()}
     assert out == {1: "to 7 or 8 gain 75%", 2: "to 7 gain 50%"}
+
+
+def test_cut_share_is_not_rounded(spark):
+    share = lambda n, cut, whole: dict(SalesOrderId=n, CUT_QTY_PALLET=cut, AGREED_ORDEREDQTY_PALLET=whole)
+    lines = flagged(make_lines(spark, share(1, 0.2999999, 1.0), share(2, 0.3, 1.0), share(3, 29.7, 99.0),
+                               share(4, 4e-8, 1e-7), share(5, 2e-8, 1e-7), share(6, 0.29999999999, 1.0)))
+    assert rows(cut_orders(lines, AS_OF, warehouses=[0]), "SalesOrderId") == [(2,), (3,), (4,)]
+
+
+def test_division_ignores_rows_without_material_and_null_donors(spark):
+    cov = covered(spark, [(1, "A", 0, 7, 10.0, 1.0, 0.5, 1), (1, None, 0, 7, None, 1.0, 0.5, 0),
+                          (1, "A", 0, None, None, 1.0, 0.5, 0), (2, None, 0, 7, None, 1.0, 0.5, 0)])
+    assert rows(whole_order_feasible(cov), "SalesOrderId", "DonorPlant") == [(1, 7)]

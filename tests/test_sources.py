@@ -4,7 +4,9 @@ import datetime as dt
 import os
 import tempfile
 
-from quayside.sources import (assert_columns, inline_relation, read_csv, read_format, read_parquet,
+from quayside.operators import broadcast_if_small
+from quayside.session import checkpoint_dir
+from quayside.sources import (assert_columns, assert_types, assert_unique, inline_relation, read_csv, read_format, read_parquet,
                               read_partition, write_bounded, write_overwrite, write_partitions)
 from tests.conftest import rows
 
@@ -59,10 +61,56 @@ def test_inline_relation_and_contract(spark):
         assert_columns(pairs, ["Missing"])
 
 
-def test_min_splits_spreads_single_split_scan(spark, scratch):
+def test_filter_reaches_the_scan(spark, scratch):
     path = os.path.join(scratch, "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    df = read_parquet(spark, path, min_splits=4, spread_by=["id"], where="id >= 50")
-    assert df.rdd.getNumPartitions() >= 1 and df.count() == 50
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,50)]" in plan
+    spark.range(100).write.parquet(path)
+    df = read_parquet(spark, path, where="id >= 50")
+    assert df.count() == 50
+    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,50)]" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_columns_go_by_name(spark, scratch):
+    path = os.path.join(scratch, "swapped.csv")
+    with open(path, "w") as f:
+        f.write("to4,note,from2,TransitQIdays\nW1,x,P1,3\nW2,y,P2,dirty\n")
+    df = read_csv(spark, path, "from2 string, to4 string, TransitQIdays int")
+    assert df.columns == ["from2", "to4", "TransitQIdays"]
+    assert rows(df) == [("P1", "W1", 3), ("P2", "W2", None)]
+    with pytest.raises(ValueError):
+        read_csv(spark, path, "from2 string, missing string")
+
+
+def test_contract_checks(spark):
+    df = spark.createDataFrame([(1, "2020-01-01"), (1, "2020-01-02")], "k int, d string")
+    assert assert_types(df, {"k": "int"}) is df
+    with pytest.raises(TypeError):
+        assert_types(df, {"d": "date"})
+    assert assert_unique(df, ["k", "d"]) is df
+    with pytest.raises(ValueError):
+        assert_unique(df, ["k"])
+
+
+def test_broadcast_only_within_the_bytes(spark):
+    small = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "k int, v string")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(small, 10_000))
+    assert not hinted(broadcast_if_small(small, 5_000))
+    assert not hinted(broadcast_if_small(small, 500))
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf: dict = {}
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
