@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators, and DuckDB SQL where it can express them."""
+"""Registered queries of the training-data operators; ``SQL`` has the DuckDB SQL of those that it can express."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from .pii import op6
 from .repeats import op3
 from .secret_scan import op1
 from .simhash import op10
+from .sql import SQL
 from .topk import op7
 
 QUERIES = {
@@ -26,21 +27,4 @@ QUERIES = {
     "op10_simhash": op10,
 }
 
-SQL = {
-    "op7_topk": """
-WITH x AS (
-  SELECT vec_id, [CAST(floor(CAST(c AS DOUBLE) * 256) AS BIGINT) FOR c IN embedding] AS v
-  FROM embeddings
-  WHERE embedding IS NOT NULL
-    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
-), pairs AS (
-  SELECT q.vec_id AS query_id, x.vec_id,
-         CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, x.v)]) AS BIGINT) AS score
-  FROM x q JOIN x ON q.vec_id <> x.vec_id
-  WHERE q.vec_id % 50 = 0
-)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
-WHERE rank <= 5
-""",
-}
+__all__ = ["QUERIES", "SQL"]

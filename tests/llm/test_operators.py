@@ -427,3 +427,27 @@ def test_empty_tables(spark, empty, name):
 
 def test_every_operator_is_registered():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+
+
+def _compare(spark, name, d):
+    from tools.oracle_check import rows_of
+
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        p = f"{d}/{t}.parquet"
+        if os.path.exists(p):
+            duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p + '/*.parquet' if os.path.isdir(p) else p}')")
+    df, res = queries.QUERIES[name](spark, d), duck.execute(queries.SQL[name])
+    cols = [c[0] for c in res.description]
+    assert sorted(df.columns) == sorted(cols)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_sql(spark, name):
+    _compare(spark, name, SF)
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scan", "op4_host_rules"])
+def test_query_matches_sql_on_awkward_rows(spark, odd, name):
+    _compare(spark, name, odd)
