@@ -99,3 +99,10 @@ def test_no_output_column_is_null_throughout(spark):
     df = QUERIES["typed_output"](spark, SF)
     counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
     assert {c for c, n in counts.items() if n == 0} == set(TYPED_NULL_COLUMNS)
+
+
+def test_later_order_reads_the_lines_once_and_the_flagship_each_input_once(spark):
+    from tools.executed_scans import executed
+
+    assert executed(QUERIES["later_order"](spark, SF))["scan lineitem"] == 1
+    assert executed(QUERIES["decisions"](spark, SF))["scan lineitem"] <= 6  # one for each bound input

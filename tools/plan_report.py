@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from quayside.plans.queries import QUERIES  # noqa: E402
 from quayside.session import local_session  # noqa: E402
 
 JOINS = ["SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct"]
@@ -76,7 +76,7 @@ def main(argv):
           "decision job from `lineitem` joins.\n")
     print("| Query | shuffles | single | broadcasts | SMJ | BHJ | NLJ | windows | partial limits | scans (pushed) | tables |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         print(f"| `{name}` | {s['shuffles']} | {s['single']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | "
