@@ -34,7 +34,8 @@ def active_sites(address: DataFrame, address_type: DataFrame,
     """
     types = latest_per_key(address_type, ["ID"], change_log_order(),
                            keep=F.col("PREFIX").isin(*prefixes) & F.col("REMOVEDATE").isNull())
-    addr = latest_per_key(address, ["ID"], change_log_order(), keep=F.col("REMOVEDATE").isNull())
+    addr = latest_per_key(address, ["ID"], change_log_order(), tie_break=["ADDRESSTYPEID", "SAPID", "REMOVEDATE"],
+                          keep=F.col("REMOVEDATE").isNull())
     t = types.select(F.col("ID").alias("__type_id"), "PREFIX")
     return (addr.join(t, addr["ADDRESSTYPEID"] == t["__type_id"])
             .select("ID", "ADDRESSTYPEID", "SAPID", "PREFIX"))
