@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,11 @@ def words_of(c: Column) -> Column:
     return F.filter(F.split(c, SPACE), lambda w: w != "")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named: a lambda's argument is bound."""
+    return F.transform(F.array(value), use)[0]
+
+
 SPAN = "struct<start:int,end:int,hit:string,before:string,after:string>"
 
 
@@ -66,8 +72,7 @@ def place_spans(hits: Column, gaps: Column, context: int = 0) -> Column:
             F.length(g["l"]).alias("gap"), F.length(h).alias("len"), h.alias("hit"),
             (F.right(g["l"], F.lit(context)) if context else F.lit("")).alias("before"),
             (F.left(g["r"], F.lit(context)) if context else F.lit("")).alias("after")))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(pairs, b * BLOCK + 1, BLOCK))
+    cut = F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))
     none = F.expr(f"cast(array() as array<{SPAN}>)")
 
     def put(acc, x):
@@ -80,11 +85,11 @@ def place_spans(hits: Column, gaps: Column, context: int = 0) -> Column:
         total = F.aggregate(block, F.lit(0), lambda s, x: s + x["gap"] + x["len"])
         return F.struct((acc["pos"] + total).alias("pos"), F.concat(acc["xs"], F.array(acc["pos"])).alias("xs"))
 
-    # transform over a one-element array binds the blocks once
-    whole = F.transform(F.array(blocks), lambda bs: F.flatten(F.zip_with(
+    blocks = once(pairs, lambda ps: F.transform(cut, lambda b: F.slice(ps, b * BLOCK + 1, BLOCK)))
+    whole = once(blocks, lambda bs: F.flatten(F.zip_with(
         bs, F.aggregate(bs, F.struct(F.lit(0).alias("pos"), F.expr("cast(array() as array<int>)").alias("xs")),
                         first)["xs"],
-        lambda block, at: F.aggregate(block, F.struct(at.alias("pos"), none.alias("xs")), put)["xs"])))[0]
+        lambda block, at: F.aggregate(block, F.struct(at.alias("pos"), none.alias("xs")), put)["xs"])))
     return F.when(n > 0, whole).otherwise(none)
 
 
