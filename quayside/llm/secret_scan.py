@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -113,20 +113,41 @@ def join_back(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFram
     return paths.join(found, "blob", "left").select("row", "blob", F.coalesce("hits", none).alias("hits"))
 
 
+def redacted(t: Column, hits: Column) -> Column:
+    """``t`` with ``[SECRET]`` for each run of overlapping ``hits`` (start, end), which are in order of start.
+
+    Hits go in about sqrt(m) blocks; each block works on its own piece of the
+    text, as finding a place in a text costs as much as the text before it.
+    """
+    size = F.greatest(F.lit(8), F.ceil(F.sqrt(F.size(hits)))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / size).cast("int")),
+                         lambda b: F.slice(hits, b * size + 1, size))
+
+    def reach(ends: Column, block: Column) -> Column:  # where each block's piece ends; the first entry is 0
+        return F.concat(ends, F.array(F.greatest(F.element_at(ends, -1), F.array_max(F.transform(block, lambda s: s["end"])))))
+
+    def put(piece: Column, begin: Column, acc: Column, s: Column) -> Column:  # acc.at: code points written or covered
+        gap = F.substr(piece, acc["at"] - begin + 1, s["start"] - acc["at"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(
+            s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit("[SECRET]"))).otherwise(acc["out"]).alias("out"))
+
+    def written(block: Column, begin: Column, stop: Column) -> Column:
+        return C.once(F.substr(t, begin + 1, stop - begin), lambda piece: F.aggregate(
+            block, F.struct(begin.alias("at"), F.lit("").alias("out")), lambda acc, s: put(piece, begin, acc, s))["out"])
+
+    def joined(bs: Column, ends: Column) -> Column:
+        pieces = F.zip_with(bs, F.arrays_zip(F.slice(ends, 1, F.size(bs)).alias("a"), F.slice(ends, 2, F.size(bs)).alias("z")),
+                            lambda block, e: written(block, e["a"], e["z"]))
+        return F.concat(F.array_join(pieces, ""), F.substr(t, F.element_at(ends, -1) + 1))
+
+    return C.once(blocks, lambda bs: C.once(F.aggregate(bs, F.array(F.lit(0)), reach), lambda ends: joined(bs, ends)))
+
+
 def redact(docs: DataFrame, ledger_path: str, rules: dict[str, str] = RULES) -> DataFrame:
     """``docs`` with every found span replaced by ``[SECRET]`` (overlapping spans by one); n_chars follows the text."""
     found = scan(docs, ledger_path, rules)
     t = F.col("row.text")
-
-    def put(acc, s):  # acc.at: code points already written or covered
-        gap = F.substr(t, acc["at"] + 1, s["start"] - acc["at"])
-        fresh = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap, F.lit("[SECRET]"))).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("hits", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), put,
-                       lambda acc: F.concat(acc["out"], F.substr(t, acc["at"] + 1)))
-    text = F.when(F.size("hits") > 0, done).otherwise(t)
+    text = F.when(F.size("hits") > 0, redacted(t, F.col("hits"))).otherwise(t)
     fresh = found.select("row", text.alias("fresh"))
     cols = []
     for c in docs.columns:
