@@ -99,13 +99,12 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", entropy: fl
     """Rows of ``docs`` (as ``row``, the columns in ``carry`` or all), one for each time a document is read, with
     source, tokens, block, place (its order key in the block), weight and exponent."""
     sources = plan(source_tokens(docs, source, text), entropy, max_epochs, budget)
-    cols = docs.columns if carry is None else carry
     part = F.col("epochs") - F.floor("epochs")
     mixed = sources.select(
         F.col("source").alias("_s"), "weight", "exponent", F.floor("epochs").cast("int").alias("whole"),
         F.round(part * F.col("tokens")).cast("long").alias("rest"),
         F.greatest(F.lit(1), F.ceil(F.col("docs") / BUCKET_DOCS)).cast("long").alias("buckets"))
-    rows = docs.select(F.struct(*cols).alias("row"), F.col("doc_id").alias("_id"), F.col(source).alias("source"),
+    rows = docs.select(F.struct(*(carry or ["*"])).alias("row"), F.col("doc_id").alias("_id"), F.col(source).alias("source"),
                        n_tokens(text).alias("tokens"))
     rows = rows.join(mixed, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     place = lambda block: F.xxhash64(F.lit(seed), block, F.col("_id"))

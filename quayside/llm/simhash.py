@@ -141,8 +141,7 @@ def keep_first(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = groups(docs.select("doc_id", text), text)
     firsts = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(firsts.withColumnRenamed("doc_id", "_first"), docs["doc_id"] == F.col("_first"), "left_semi")
-    named = named.dropDuplicates(["doc_id"])
+    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nameless = docs.filter("doc_id is null")
     if nameless.limit(1).count():
         named = named.unionByName(_nameless(nameless, found, text))
@@ -156,8 +155,10 @@ def _nameless(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
     placed = alone.join(roots, alone["fp"] == roots["u"], "left").select("fp", F.coalesce("v", "fp").alias("root"))
     texts = docs.select(C.whole_text(text).alias("text")).distinct()
     by_text = texts.mapInArrow(_text_fp, "text string, fp long").join(placed, "fp")
-    best = by_text.groupBy("root").agg(F.min("text").alias("_best")).select("_best")
-    return docs.join(best, C.whole_text(text) == F.col("_best"), "left_semi").dropDuplicates([text])
+    best = by_text.groupBy("root").agg(F.min("text").alias("best")).select(F.struct("best").alias("b"))
+    rows = docs.select(F.struct("*").alias("row"))
+    kept = rows.join(best, C.whole_text(f"row.{text}") == F.col("b.best"), "left_semi")
+    return kept.select("row.*").dropDuplicates([text])
 
 
 def _text_fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

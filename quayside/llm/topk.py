@@ -21,7 +21,8 @@ length.  Annuli with many rows are split by a hash of the id, so a task holds at
 most about ``PART_ROWS`` vectors; queries are streamed past them.
 
 Components become floor(256 * x) first.  Vectors that are null or hold a null or
-non-finite component take no part.  Vectors of different lengths don't meet.
+non-finite component take no part.  Vectors of different lengths don't meet;
+empty ones score 0 with each other.
 A repeated candidate row is a candidate each time; a query id that repeats asks
 once, with its least vector.  Rows with the query's own id are never its results.
 """
@@ -56,8 +57,8 @@ def fit(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).collect()
     found = {}
     for dim in {r["dim"] for r in sample}:
-        x = np.array([r["v"] for r in sample if r["dim"] == dim], np.float64).reshape(-1, dim)
-        x = np.unique(x, axis=0)
+        v = [r["v"] for r in sample if r["dim"] == dim]
+        x = np.unique(np.array(v, np.float64).reshape(len(v), dim), axis=0)
         chosen, far = [0], np.linalg.norm(x - x[0], axis=1)
         while len(chosen) < min(PIVOTS, len(x)):  # the farthest from those chosen
             chosen.append(int(far.argmax()))

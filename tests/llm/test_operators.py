@@ -51,7 +51,7 @@ def odd(spark, tmp_path_factory):
     rows += rows[5:9] + [(None, "no id", None, None, None), (None, None, None, None, None), (None, "no id", "x", "s", 1)]
     d = str(tmp_path_factory.mktemp("odd"))
     df = spark.createDataFrame(rows, DOC)
-    for c in ("row", "blob", "hits", "word", "fp", "kept", "host", "block", "place", "tokens", "spans", "n", "u", "_text", "_doc", "gone"):
+    for c in ("row", "blob", "hits", "word", "fp", "kept", "host", "block", "place", "tokens", "spans", "n", "u", "_text", "_doc", "gone", "_first", "_id", "a.b"):
         df = df.withColumn(c, F.lit(1))
     df.coalesce(2).write.parquet(f"{d}/documents.parquet")
     return d
@@ -126,6 +126,24 @@ def test_redaction(spark, tmp_path):
     assert [tuple(r) for r in out] == [(1, "é [SECRET] x [SECRET] end [SECRET]", 34), (2, None, None), (3, "ok", 99)]
 
 
+def test_redaction_of_many_and_overlapping_spans(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        t = "".join(rng.choice("aé🎉 \n") for _ in range(rng.randint(1, 900)))
+        spans = sorted((a, min(len(t), a + rng.choice((1, 2, 5, 60)))) for a in
+                       (rng.randrange(len(t)) for _ in range(rng.choice((1, 3, 9, 200)))))
+        out, at = "", 0
+        for a, z in spans:
+            if a >= at:
+                out += t[at:a] + "[SECRET]"
+            at = max(at, z)
+        rows.append((i, t, spans, out + t[at:]))
+    df = spark.createDataFrame(rows, "id long, text string, hits array<struct<start:int,end:int>>, want string")
+    got = df.select("id", "want", secret_scan.redacted(F.col("text"), F.col("hits")).alias("got")).collect()
+    assert len(got) == 40 and all(r.got == r.want for r in got)
+
+
 def test_mixing(spark, odd):
     rng = random.Random(2)
     rows = [(i, " ".join("w" for _ in range(rng.randint(1, 30))), "big" if i % 8 else f"s{i % 3}") for i in range(4000)]
@@ -287,6 +305,15 @@ def test_top_k_parts_lengths_and_repeats(spark, monkeypatch):
         {(q, v): 2 for q, r, v, _ in got if r <= 2})
 
 
+def test_top_k_of_empty_vectors(spark):
+    def found(rows):
+        rows = topk.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        return sorted(map(tuple, topk.top_k(rows, rows.filter("vec_id % 50 = 0")).collect()))
+
+    assert found([(0, []), (1, [])]) == [(0, 1, 1, 0)]
+    assert found([(0, []), (1, []), (50, [1.0]), (3, [0.5])]) == [(0, 1, 1, 0), (50, 1, 3, 128 * 256)]
+
+
 def test_chat(spark, tmp_path):
     rng = random.Random(6)
     bits = ["<|", "|>", "im_end", "\\", "<\\|", "<|im_start|>", "assistant", "\n", "é", "🎉", " ", "<"]
