@@ -6,17 +6,23 @@ most ``radius`` bits, and components of links are the groups.
 
 Candidates come from covering masks.  Every bit position i gets a nonzero
 vector m(i) of radius + 1 bits, dealt in turn; table v, for each nonzero vector v,
-keeps the positions with an even number of common ones in m(i) and v.  The vectors
+keeps the positions with an odd number of common ones in m(i) and v.  The vectors
 of any ``radius`` differing positions leave some v that is orthogonal to them
-all, so every pair within the radius collides in that table: no link is missed.
+all, so every pair within the radius collides in that table, which masks those
+positions out: no link is missed.
 
 Copies fall together first: only distinct fingerprints are keyed.  In a bucket
 of at most ``LIGHT`` fingerprints the pairs are compared.  In a larger one no
-pairs are made: for radius 2 two members are within the radius exactly if they
-share a point at distance one or less from both, so each emits itself and its
-one-bit neighbours among the positions that the table masks out, and those who
-meet at a point (38 at most, by geometry) are linked to the least of them;
-linked or not, their components are the same as from all pairs.
+pairs are made: two members are within an even radius exactly if they share a
+point at half of it or less from both, so each emits its neighbours up to there
+(for radius 2 itself and one bit away) among the positions that the table masks
+out, and those who meet at a point (29 at most for radius 2, by geometry) are
+linked to the least of them; linked or not, their components are the same as
+from all pairs.  For an odd radius each also emits its neighbours one bit
+further, and all who meet are linked to the least of those who are near, if any
+is.  A member's points grow as the masked positions (about 30) to the power of
+half the radius, and the tables double with each bit of it: up to 29 points in
+each of 7 tables for radius 2, up to 529 in each of 15 for radius 3.
 
 Null and empty texts have fingerprint zero and link like any other.  Rows that
 repeat an id get a row each.  Rows without an id have the least id of their
@@ -73,9 +79,11 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) ->
 
 def masks(radius: int = RADIUS) -> list[int]:
     """For each table, the bits that it keeps, as a signed 64-bit integer."""
+    if radius < 0:
+        raise ValueError(f"radius {radius} is negative")
     width = (1 << (radius + 1)) - 1
     dealt = [i % width + 1 for i in range(64)]
-    kept = [sum(1 << i for i, m in enumerate(dealt) if (m & v).bit_count() % 2 == 0) for v in range(1, width + 1)]
+    kept = [sum(1 << i for i, m in enumerate(dealt) if (m & v).bit_count() % 2 == 1) for v in range(1, width + 1)]
     return [k - (1 << 64) if k >> 63 else k for k in kept]
 
 
@@ -91,21 +99,36 @@ def links(distinct: DataFrame, radius: int = RADIUS, light: int = LIGHT) -> Data
     keyed = keyed.select("k.t", "k.key", "fp", "node")
     sizes = keyed.groupBy("t", "key").count().filter("count > 1")
     full = C.materialise(keyed.join(sizes, ["t", "key"]), "buckets")
-    few = full.filter(F.col("count") <= light) if radius == 2 else full
+    few = full.filter(F.col("count") <= light)
     a, b = few.alias("a"), few.alias("b")
     pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key"))
                    & (F.col("a.fp") < F.col("b.fp")) & (_distance(F.col("a.fp"), F.col("b.fp")) <= radius))
     pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
-    if radius != 2:
-        return pairs
     many = full.filter(F.col("count") > light)
     signed = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
-    flips = F.array(*[F.array(F.lit(0).cast("long"), *[F.lit(s).cast("long") for i, s in enumerate(signed) if not m >> i & 1])
-                      for m in kept])
-    points = many.select("t", "key", "node", F.explode(F.transform(
-        F.get(flips, F.col("t")), lambda x: F.col("fp").bitwiseXOR(x))).alias("point"))
-    met = points.groupBy("t", "key", "point").agg(F.collect_set("node").alias("nodes")).filter(F.size("nodes") > 1)
-    return pairs.union(met.select(F.explode("nodes").alias("u"), F.array_min("nodes").alias("v")))
+    flips = F.array(*[F.array(*[F.lit(s).cast("long") for i, s in enumerate(signed) if not m >> i & 1]) for m in kept])
+    many = many.select("t", "key", "node", F.explode(_around(F.col("fp"), F.get(flips, F.col("t")), radius)).alias("p"))
+    near = F.when(F.col("p.bits") <= radius // 2, F.col("node"))
+    met = many.select("t", "key", F.col("p.x").alias("point"), "node", near.alias("near")).groupBy("t", "key", "point").agg(
+        F.collect_set("node").alias("nodes"), F.min("near").alias("least")).filter("least is not null and size(nodes) > 1")
+    return pairs.union(met.select(F.explode("nodes").alias("u"), F.col("least").alias("v")))
+
+
+def _around(fp: Column, flips: Column, radius: int) -> Column:
+    """Array of (x, bits): ``fp`` with up to half the radius, rounded up, of the bits in ``flips`` turned."""
+    def further(one: Column) -> Column:  # each set of bits once: those turned next come after the last
+        rest = F.slice(flips, one["next"] + 1, F.size(flips))
+        return F.transform(rest, lambda bit, j: F.struct(
+            one["x"].bitwiseXOR(bit).alias("x"), (one["next"] + j + 1).alias("next")))
+
+    level = F.array(F.struct(fp.alias("x"), F.lit(0).alias("next")))
+    levels = []
+    for bits in range((radius + 1) // 2 + 1):
+        if bits:
+            level = F.flatten(F.transform(level, further))
+        n = F.lit(bits).alias("bits")
+        levels.append(F.transform(level, lambda one: F.struct(one["x"].alias("x"), n)))
+    return F.concat(*levels)
 
 
 def groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -1,5 +1,6 @@
 """The dealt operators against plain versions, on whole small tables and on awkward rows."""
 
+import itertools
 import os
 import random
 from collections import Counter, defaultdict
@@ -412,6 +413,32 @@ def test_covering_masks_miss_no_pair():
     assert all(any(not (m >> i | m >> j) & 1 for m in simhash.masks(2)) for i in range(64) for j in range(64))
 
 
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_every_pattern_within_the_radius_shares_a_table(radius):
+    kept = np.array(simhash.masks(radius), np.int64)
+    assert len(kept) == 2 ** (radius + 1) - 1
+    patterns = np.array([np.int64(0)] + [
+        sum(1 << i for i in c) - ((1 << 64) if 63 in c else 0)
+        for n in range(1, radius + 1) for c in itertools.combinations(range(64), n)], np.int64)
+    assert ((patterns[:, None] & kept) == 0).any(axis=1).all()
+    with pytest.raises(ValueError):
+        simhash.masks(-1)
+
+
+@pytest.mark.parametrize("radius,light", [(0, 0), (1, 0), (1, 64), (3, 0), (3, 64), (4, 0)])
+def test_links_of_other_radii(spark, radius, light):
+    rng = random.Random(radius)
+    fps = {0, 1, 7, 15, 31, 1 << 63, (1 << 64) - 1}  # 0 and 7 differ in bits 0, 1, 2
+    for c in [rng.getrandbits(64) for _ in range(5)]:
+        fps |= {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, radius + 1))) for _ in range(12)}
+    fps = sorted(fps)
+    links = [(i, j) for i, a in enumerate(fps) for j, b in enumerate(fps[:i]) if (a ^ b).bit_count() <= radius]
+    want = brute.components(range(len(fps)), links)
+    df = spark.createDataFrame([(f - (1 << 64) * (f >> 63), i) for i, f in enumerate(fps)], "fp long, node long")
+    got = {r.u: r.v for r in components.components(simhash.links(df, radius, light)).collect()}
+    assert {i: got.get(i, i) for i in want} == want
+
+
 @pytest.mark.parametrize("light", [0, 3, 64])
 def test_links_of_clustered_fingerprints(spark, light):
     rng = random.Random(9)
