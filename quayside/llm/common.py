@@ -93,14 +93,20 @@ def place_spans(hits: Column, gaps: Column, context: int = 0) -> Column:
     return F.when(n > 0, whole).otherwise(none)
 
 
-def with_spans(df: DataFrame, text: str, rules: dict[str, str], context: int = 0) -> DataFrame:
+def with_spans(df: DataFrame, text: str, rules: dict[str, str], context: int = 0,
+               asked: dict[str, Column] | None = None) -> DataFrame:
     """Add a column ``span_<kind>`` with the placed matches of each pattern.
 
     The text is searched once by each pattern, and split only if it matched.
+    A pattern with a condition in ``asked`` is run on the rows where it holds; elsewhere it has no spans.
     """
-    kept = df.columns
-    df = df.select("*", *[F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias(f"_hit_{k}")
-                          for k, p in rules.items()])
+    kept, asked = df.columns, asked or {}
+
+    def hits(k: str, p: str) -> Column:
+        found = F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0))
+        return F.when(asked[k], found) if k in asked else found
+
+    df = df.select("*", *[hits(k, p).alias(f"_hit_{k}") for k, p in rules.items()])
     df = df.select("*", *[F.when(F.size(f"_hit_{k}") > 0, F.split(F.col(text), p, -1)).alias(f"_gap_{k}")
                           for k, p in rules.items()])
     return df.select(*[F.col(c) for c in kept], *[

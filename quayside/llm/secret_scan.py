@@ -65,8 +65,9 @@ def pending(blobs: DataFrame, ledger: DataFrame, rules: dict[str, str]) -> DataF
 
 
 def scan_blobs(todo: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """Ledger rows for the (blob, rule) pairs in ``todo`` (blob, text, todo)."""
-    found = C.with_spans(todo, "text", rules)
+    """Ledger rows for the (blob, rule) pairs in ``todo`` (blob, text, todo); a text's other rules are not run."""
+    found = C.with_spans(todo, "text", rules, asked={
+        k: F.array_contains("todo", f"{k}:{version_of(p)}") for k, p in rules.items()})
     rows = []
     for kind, pattern in rules.items():
         spans = F.col(f"span_{kind}")

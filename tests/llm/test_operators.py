@@ -105,6 +105,16 @@ def test_pii_scores_validators_and_bank_accounts(spark):
     assert ibans[0].score == 1.0
 
 
+def test_rules_that_are_done_are_not_run(spark):
+    rules = {"access": secret_scan.RULES["access"], "broken": "("}  # fails on any text it is run on
+    todo = spark.createDataFrame([(b"x", "AKIA" + "B" * 16, [f"access:{secret_scan.version_of(rules['access'])}"])],
+                                 "blob binary, text string, todo array<string>").repartition(1)
+    got = secret_scan.scan_blobs(todo, rules).collect()
+    assert [(r.rule, [tuple(x) for x in r.spans]) for r in got] == [("access", [(0, 20)])]
+    with pytest.raises(Exception, match="REGEX|PATTERN|regex|pattern"):
+        secret_scan.scan_blobs(todo.withColumn("todo", F.array(F.lit(f"broken:{secret_scan.version_of('(')}"))), rules).collect()
+
+
 def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     path = str(tmp_path / "ledger")
     rows = spark.createDataFrame([(1, "token=abcdefgh"), (2, "token=abcdefgh"), (3, "plain")], "doc_id long, text string")
