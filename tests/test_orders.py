@@ -1,5 +1,9 @@
 """Order-level alerts: cut orders (C8), relational division (C12), best donor."""
 
+import random
+
+import pytest
+
 from quayside.operators import best_donor, cut_orders, whole_order_feasible
 from tests.conftest import rows
 from tests.lines_fixture import D, make_lines
@@ -89,3 +93,35 @@ def test_division_ignores_rows_without_material_and_null_donors(spark):
     cov = covered(spark, [(1, "A", 0, 7, 10.0, 1.0, 0.5, 1), (1, None, 0, 7, None, 1.0, 0.5, 0),
                           (1, "A", 0, None, None, 1.0, 0.5, 0), (2, None, 0, 7, None, 1.0, 0.5, 0)])
     assert rows(whole_order_feasible(cov), "SalesOrderId", "DonorPlant") == [(1, 7)]
+
+
+def test_division_makes_no_array_of_an_order(spark):
+    cov = covered(spark, [(1, "A", 0, 7, 10.0, 1.0, 0.5, 1)])
+    plan = whole_order_feasible(cov)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_" not in plan and "explode" not in plan
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_division_like_the_plain_version(spark, exact):
+    rng = random.Random(4)
+    data = [(rng.choice([None, *range(60)]), rng.choice([None, "A", "B", "C"]), 0, rng.choice([None, 7, 8, 9]), 1.0,
+             rng.choice([None, 0.0, 1.0, 2.5]), rng.choice([None, 0.1, 0.5]), rng.choice([None, 0, 1, 1, 1])) for _ in range(260)]
+    data += [(100, "A", 0, d, 1.0, 2.0, 0.5, 1) for d in (7, 8, None) for _ in range(2000)]  # a long order
+    want = []
+    for order in {r[0] for r in data}:
+        lines = [r for r in data if r[0] == order]
+        willing = [r for r in lines if r[7] == 1]
+        covers = {r[1] for r in willing} - {None}
+        if {r[1] for r in lines} - {None} - covers:
+            continue
+        by = {}
+        for r in willing:
+            by.setdefault(r[3], []).append(r[1])
+        n = {d: len(set(m) - {None}) if exact else sum(x is not None for x in m) for d, m in by.items()}
+        kept = [r for r in willing if n[r[3]] == len(covers)]
+        asked, sent = ([r[i] for r in kept if r[i] is not None] for i in (5, 6))
+        share = round(sum(sent) / sum(asked), 9) if asked and sent and sum(asked) else None
+        want += [(*r, n[r[3]], len(covers), share) for r in kept]
+    out = whole_order_feasible(covered(spark, data), exact)
+    got = [(*r[:-1], None if r[-1] is None else round(r[-1], 9)) for r in out.collect()]
+    assert want and sorted(got, key=repr) == sorted(want, key=repr)
