@@ -198,10 +198,14 @@ def run_open_order_decisions(inp: OpenOrderInputs, prm: OpenOrderParams, target_
         br.release()
 
 
-def run_material_dimension(inp: DimensionInputs, target_path: str, files: int = 2, **kw) -> None:
-    """Entry 2 with its write in ``files`` files."""
+def run_material_dimension(inp: DimensionInputs, target_path: str, files: int | None = None, **kw) -> None:
+    """Entry 2 with its write in ``files`` files; by default in as many as its last stage has tasks."""
     apply_job_conf(inp.address.sparkSession)
-    write_bounded(material_dimension_job(inp, **kw), target_path, files)
+    result = material_dimension_job(inp, **kw)
+    if files is None:
+        write_overwrite(result, target_path)
+    else:
+        write_bounded(result, target_path, files)
 
 
 # -- from dataset paths ---------------------------------------------------------
@@ -236,6 +240,8 @@ class DimensionPaths:
     class_values: str
 
 
+FILE_BYTES = 128 << 20  # input bytes for each file of a bounded result
+
 # Columns whose type the contracts name.
 OPEN_ORDER_TYPES = {
     "lines": {"FactPlanBillingDate": "date", "OrderProcessingDate": "date", "OrderCreationDate": "date"},
@@ -280,10 +286,21 @@ def open_order_job(spark: SparkSession, paths: OpenOrderPaths, prm: OpenOrderPar
     return read_snapshot(spark, target_path)
 
 
-def material_dimension_job_from(spark: SparkSession, paths: DimensionPaths, target_path: str, files: int = 2,
-                                **kw) -> DataFrame:
+def files_for(spark: SparkSession, paths: DimensionPaths, file_bytes: int = FILE_BYTES) -> int:
+    """A number of files that grows with the job: one for each ``file_bytes`` of its inputs, from which the
+    result's size follows (at most a row for each version of a material)."""
+    total = 0
+    for f in fields(paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(getattr(paths, f.name))
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(1, -(-total // file_bytes))
+
+
+def material_dimension_job_from(spark: SparkSession, paths: DimensionPaths, target_path: str,
+                                files: int | None = None, **kw) -> DataFrame:
     """Entry 2 from paths to a written result, which is returned as read back.
 
+    ``files`` bounds the result's files (see ``files_for``); by default nothing does.
     Raises if a contract's type differs or a lookup has more than one row a key.
     """
     apply_job_conf(spark)

@@ -23,7 +23,7 @@ from . import params as P
 from ..session import checkpoint_dir
 from ..sources.sinks import write_overwrite, write_partitions
 from .jobs import (DimensionInputs, DimensionPaths, OpenOrderBranches, OpenOrderInputs, OpenOrderParams, OpenOrderPaths,
-                   material_dimension_job, material_dimension_job_from, open_order_job)
+                   files_for, material_dimension_job, material_dimension_job_from, open_order_job)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,11 +322,13 @@ def q_decisions_from_files(spark, d):
 
 
 def q_dimension_from_files(spark, d):
-    """The dimension job from dataset paths; its result is written with a bounded number of files."""
+    """The dimension job from dataset paths; its result is written with a number of files that
+    grows with the inputs."""
     inp = dimension_inputs(spark, d)
     paths = _files(spark, "dimension", {f.name: getattr(inp, f.name) for f in fields(DimensionPaths)})
     root = paths.pop("root")
-    return material_dimension_job_from(spark, DimensionPaths(**paths), f"{root}/result", prefixes=P.SITE_PREFIXES,
+    paths = DimensionPaths(**paths)
+    return material_dimension_job_from(spark, paths, f"{root}/result", files_for(spark, paths), prefixes=P.SITE_PREFIXES,
                                        created_from=P.CREATED_FROM, issued_from=P.ISSUED_FROM, audit=False)
 
 

@@ -68,3 +68,21 @@ def test_horizon_covers_57_days(spark):
     full = hw.where((F.col("DAY") >= F.lit(lo)) & (F.date_add("DAY", 56) <= F.lit(hi)))
     per_day = full.groupBy("DAY").agg(F.sum("__days").alias("n")).select("n").distinct().collect()
     assert [r["n"] for r in per_day] == [57]
+
+
+def test_files_of_the_dimension_grow_with_the_inputs(spark, monkeypatch):
+    from quayside.plans import jobs, queries
+    sf = "/root/testdata/sf0.01"
+    few = queries.QUERIES["dimension_from_files"](spark, sf)
+    monkeypatch.setattr(queries, "files_for", lambda s, paths: min(jobs.files_for(s, paths, 1 << 12), 8))
+    many = queries.QUERIES["dimension_from_files"](spark, sf)
+    assert len(few.inputFiles()) == 1 and len(many.inputFiles()) > 2
+    assert few.count() == many.count() > 8
+
+
+def test_dimension_files_are_not_bounded_by_default():
+    from inspect import signature
+
+    from quayside.plans import jobs
+    assert all(signature(f).parameters["files"].default is None
+               for f in (jobs.run_material_dimension, jobs.material_dimension_job_from))
