@@ -6,6 +6,7 @@ from .bpe import op5
 from .chat import op8
 from .host_rules import op4
 from .lattice_lm import op9
+from .merkle import op12
 from .mixing import op2
 from .pii import op6
 from .repeats import op3
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_chat": op8,
     "op9_lattice_lm": op9,
     "op10_simhash": op10,
+    "op12_merkle": op12,
 }
 
 __all__ = ["QUERIES", "SQL"]

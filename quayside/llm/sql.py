@@ -8,7 +8,7 @@ components); tests hold those against plain versions and the public libraries.
 from __future__ import annotations
 
 from . import host_rules as H
-from . import pii, repeats, secret_scan
+from . import merkle, pii, repeats, secret_scan
 
 TEXTS = "SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents"
 #: fixed values: keywords in either case, spelt out
@@ -180,5 +180,46 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+#: a tree of up to 16 ** LEVELS nodes; DuckDB has no CRC32, so it is spelt out bit by bit
+LEVELS = 8
+CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def field(c: str) -> str:
+    return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+def climbed(t: str, p: str) -> str:
+    """CTEs t1.. of nodes and p1.. of paths by level, from t0 (tree, i, n, d) and p0 (doc_id, ..., tree, i, proof, now)."""
+    return ",\n".join(f"""
+{t}{k + 1} AS (SELECT tree, i // 16 AS i, (any_value(n) + 15) // 16 AS n,
+               CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {t}{k} GROUP BY tree, i // 16),
+{p}{k + 1} AS (
+  SELECT p.* EXCLUDE (i, proof, now), p.i // 16 AS i,
+         proof || CASE WHEN n = 1 THEN '' ELSE array_to_string(ds[1:p.i % 16] || ds[p.i % 16 + 2:], '') END AS proof,
+         CASE WHEN n = 1 THEN now ELSE sha256(array_to_string(ds[1:p.i % 16] || [now] || ds[p.i % 16 + 2:], '')) END AS now
+  FROM {p}{k} p JOIN (SELECT tree, i // 16 AS run, any_value(n) AS n, list(d ORDER BY i) AS ds FROM {t}{k} GROUP BY tree, i // 16) r
+    ON p.tree = r.tree AND p.i // 16 = r.run)""" for k in range(LEVELS))
+
+
+MERKLE = f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({" || ".join(map(field, merkle.FIELDS))}) AS leaf,
+         CASE WHEN {CRC32} % {merkle.TAMPERED} = 0 THEN sha256({" || ".join(
+             field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if f == "text" else f) for f in merkle.FIELDS)}) END AS changed
+  FROM documents),
+p0 AS (SELECT doc_id, leaf, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, '' AS proof,
+              coalesce(changed, leaf) AS now FROM leaves),
+t0 AS (SELECT tree, i, count(*) OVER (PARTITION BY tree) AS n, leaf AS d FROM p0),
+{climbed("t", "p")},
+s0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, d, tree AS source FROM t{LEVELS}),
+q0 AS (SELECT p.* EXCLUDE (tree, i), '' AS tree, s.i, s.d AS subroot FROM p{LEVELS} p JOIN s0 s ON p.tree = s.source),
+{climbed("s", "q")}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = d AS verified
+FROM q{LEVELS} CROSS JOIN s{LEVELS}
+"""
+
 SQL = {"op1_secret_scan": SECRETS, "op3_repeats": REPEATS, "op4_host_rules": HOSTS, "op6_pii": PII, "op7_topk": TOP_K,
-       "op8_chat": CHAT}
+       "op8_chat": CHAT, "op12_merkle": MERKLE}
