@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op5
 from .chat import op8
+from .hard_negatives import op11
 from .host_rules import op4
 from .lattice_lm import op9
 from .merkle import op12
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_chat": op8,
     "op9_lattice_lm": op9,
     "op10_simhash": op10,
+    "op11_hard_negatives": op11,
     "op12_merkle": op12,
 }
 

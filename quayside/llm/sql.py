@@ -221,5 +221,30 @@ SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, now AS f
 FROM q{LEVELS} CROSS JOIN s{LEVELS}
 """
 
+NEGATIVES = """
+WITH x AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(CAST(c AS DOUBLE) * 256) AS BIGINT) FOR c IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+         CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.v, x.v)]) AS BIGINT) AS score
+  FROM x a JOIN x ON a.vec_id <> x.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS positive_rank
+  FROM pairs WHERE same QUALIFY positive_rank <= 5
+)
+SELECT anchor_id, CAST(positive_rank AS INTEGER) AS positive_rank, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_rank ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 SQL = {"op1_secret_scan": SECRETS, "op3_repeats": REPEATS, "op4_host_rules": HOSTS, "op6_pii": PII, "op7_topk": TOP_K,
-       "op8_chat": CHAT, "op12_merkle": MERKLE}
+       "op8_chat": CHAT, "op11_hard_negatives": NEGATIVES, "op12_merkle": MERKLE}
