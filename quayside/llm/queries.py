@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bottom_k import op13
 from .bpe import op5
 from .chat import op8
 from .hard_negatives import op11
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_simhash": op10,
     "op11_hard_negatives": op11,
     "op12_merkle": op12,
+    "op13_bottom_k": op13,
 }
 
 __all__ = ["QUERIES", "SQL"]
