@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.units import grams_to_kg, kg_to_grams, length_cm
+from ..sources.sinks import write_once
 from .joins import broadcast_if_small
 from .latest import latest_per_key
 from .temporal import validity_interval
@@ -50,10 +51,11 @@ def shipped_materials(shipments: DataFrame, sites: DataFrame, created_from: str
     documents with an inner join, joins back and de-duplicates; that is a semi
     join followed by a distinct, written so here.  One plant can issue a large
     share of all items, so the site list is broadcast (after a size check)
-    instead of shuffling the items on the plant.
+    instead of shuffling the items on the plant.  The list is written once, so that
+    the check and the join read it, and neither runs the change logs again.
     """
     items = shipments.where(F.try_to_date(F.col("ERDAT"), created_format) >= F.lit(created_from).cast("date"))
-    site_ids = broadcast_if_small(sites.select(F.col("SAPID").alias("WERKS")).distinct())
+    site_ids = broadcast_if_small(write_once(sites.select(F.col("SAPID").alias("WERKS")).distinct(), "sites"))
     docs = (items.where(F.col("WADAT_IST") >= F.lit(issued_from).cast("date"))
             .join(site_ids, "WERKS", "left_semi")
             .select("VBELN"))

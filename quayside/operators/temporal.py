@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import fiscal_week_key, period_year_key
 from ..functions.exprs import as_of_date, exact_sum
-from .joins import broadcast_if_small, expand_days
+from .joins import BROADCAST_BYTES, expand_days
 from .latest import latest_per_key
 
 
@@ -57,12 +57,19 @@ def latest_stock(stock: DataFrame, as_of=None) -> DataFrame:
                           tie_break=[F.col("FREE_STOCK").desc(), F.col("TMS").desc()])
 
 
+#: a calendar of up to 100 years makes a horizon table of under 20 MB
+CALENDAR_DAYS = 36_600
+WEEK_ROW_BYTES = 48  # date, week key and number, with the row around them
+
+
 def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, horizon: int = 56,
-                   divisor: int = 56, days_per_week: int = 7) -> DataFrame:
+                   divisor: int = 56, days_per_week: int = 7, pairs: DataFrame | None = None,
+                   calendar_days: int | None = CALENDAR_DAYS) -> DataFrame:
     """Average daily demand over the horizon for each latest stock row.
 
     ``stock`` holds the stock snapshots; the latest one per (warehouse,
-    material) is taken here (``latest_stock``).
+    material) is taken here (``latest_stock``).  With ``pairs`` (WAREHOUSE, MATERIAL_CODE)
+    only the stock and forecast of those are read on (semi joins before any other work).
 
     For every stock row and every calendar day in ``[DAY, DAY + horizon]``
     (inclusive: ``horizon + 1`` days) the weekly forecast of that day's
@@ -74,8 +81,10 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     Plan: which weeks a horizon covers, and with how many days, depends only
     on its first day, so ``horizon_weeks`` tabulates it for every day whose
     horizon meets the calendar — from the calendar alone, about 9 rows per
-    calendar day, never from the stock.  That table is broadcast after a size
-    check and joined to the stock rows on the day: each stock row meets ~9
+    calendar day, never from the stock.  Its size follows from the number of days that the
+    calendar spans: up to ``calendar_days`` (which the plan itself checks, without a job
+    of its own) it is broadcast; for longer calendars pass None, and the planner shuffles both sides.
+    It is joined to the stock rows on the day: each stock row meets ~9
     week rows instead of 57 day rows, and a stock day whose horizon misses
     the calendar finds no row, as with the original inner calendar join.  The
     forecast is summed per version (partial sums first) and joined on (plant,
@@ -83,7 +92,13 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     """
     stock_cols = ["WAREHOUSE", "MATERIAL_CODE", "DAY", "TMS", "FREE_STOCK"]
     cal = fiscal_labels(calendar).select("OriginalDate", "MARS_WEEK_FOR_DEMAND")
-    weeks = latest_stock(stock).select(*stock_cols).join(broadcast_if_small(horizon_weeks(cal, horizon)), "DAY")
+    if pairs is not None:
+        stock = stock.join(pairs, STOCK_KEYS, "left_semi")
+        forecast = forecast.join(pairs.withColumnRenamed("WAREHOUSE", "PLANT"), ["PLANT", "MATERIAL_CODE"], "left_semi")
+    table = horizon_weeks(cal, horizon, calendar_days)
+    if calendar_days is not None and (calendar_days + horizon) * (horizon // days_per_week + 2) * WEEK_ROW_BYTES <= BROADCAST_BYTES:
+        table = F.broadcast(table)
+    weeks = latest_stock(stock).select(*stock_cols).join(table, "DAY")
     # Versions are summed before they are shuffled (exactly: the total is tested
     # against a threshold), then meet the stock on the join keys.
     fc = (forecast.withColumnRenamed("MATERIAL_CODE", "__mat")
@@ -98,10 +113,17 @@ def project_demand(stock: DataFrame, forecast: DataFrame, calendar: DataFrame, h
     return total.withColumn("FORECAST_CASES_8_WEEK_BY_PER_DAY", F.col("DEMAND_TOTAL") / divisor)
 
 
-def horizon_weeks(cal: DataFrame, horizon: int) -> DataFrame:
+def horizon_weeks(cal: DataFrame, horizon: int, calendar_days: int | None = None) -> DataFrame:
     """(DAY, week, number of horizon days in that week) for every day whose
-    ``[DAY, DAY + horizon]`` meets the calendar; ``cal`` = (OriginalDate, MARS_WEEK_FOR_DEMAND)."""
-    span = cal.agg(F.date_add(F.min("OriginalDate"), -horizon).alias("__s"), F.max("OriginalDate").alias("__e"))
+    ``[DAY, DAY + horizon]`` meets the calendar; ``cal`` = (OriginalDate, MARS_WEEK_FOR_DEMAND).
+
+    Fails when the calendar spans more than ``calendar_days``, if given.
+    """
+    start, end = F.min("OriginalDate"), F.max("OriginalDate")
+    if calendar_days is not None:
+        long_ = F.raise_error(F.lit(f"the calendar spans over {calendar_days} days: pass a larger calendar_days, or None")).cast("date")
+        end = F.when(F.date_diff(end, start) < calendar_days, end).when(start.isNotNull(), long_)
+    span = cal.agg(F.date_add(start, -horizon).alias("__s"), end.alias("__e"))
     days = span.select(F.explode(F.sequence("__s", "__e")).alias("DAY"))
     return (expand_days(days, "DAY", horizon).join(cal, "OriginalDate")
             .groupBy("DAY", "MARS_WEEK_FOR_DEMAND").agg(F.count(F.lit(1)).alias("__days")))

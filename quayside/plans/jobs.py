@@ -22,7 +22,7 @@ from ..functions.units import DRY_BRANDS, technology_rules
 from ..session import apply_job_conf, checkpoint_dir
 from ..sources.readers import (assert_types, assert_unique, inline_relation, read_csv, read_delta, read_history,
                                read_snapshot)
-from ..sources.sinks import write_bounded, write_overwrite
+from ..sources.sinks import write_bounded, write_once, write_overwrite
 
 
 @dataclass
@@ -110,13 +110,21 @@ class OpenOrderBranches:
         return self._get("targets", lambda: op.cut_orders(self.flagged_lines(), self.prm.as_of, self.prm.warehouses))
 
     def demand(self):
-        return self._get("demand", lambda: op.project_demand(
-            self.inp.stock, self.inp.forecast, self.inp.calendar, self.prm.horizon,
-            self.prm.divisor))
+        """Demand of every (warehouse, material)."""
+        return self._get("demand", lambda: self._project(None))
+
+    def _project(self, pairs):
+        return op.project_demand(self.inp.stock, self.inp.forecast, self.inp.calendar, self.prm.horizon, self.prm.divisor,
+                                 pairs=pairs)
+
+    def asked(self):
+        """Cut lines with their donors; written once, as the demand's pairs and the cover both read them."""
+        return self._get("asked", lambda: write_once(op.expand_donors(self.targets(), self.inp.donor_pairs), "asked"))
 
     def covered(self):
-        return self._get("covered", lambda: op.donor_cover(
-            op.expand_donors(self.targets(), self.inp.donor_pairs), self.demand(), self.prm.coefficient))
+        """Written once: the division reads it for its counts and for its rows."""
+        return self._get("covered", lambda: write_once(op.donor_cover(
+            self.asked(), self._project(op.asked_pairs(self.asked())), self.prm.coefficient), "covered"))
 
     def feasible(self):
         return self._get("feasible", lambda: op.whole_order_feasible(self.covered()))

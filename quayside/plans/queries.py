@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import fields
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
@@ -149,19 +149,14 @@ def q_cut_orders(spark, d):
 
 def q_windowed_distinct(spark, d):
     """Distinct materials of each line's order, as a window result."""
-    lines = b.order_lines(spark, d)
-    w = Window.partitionBy("SalesOrderId")
-    return lines.select(*LINE_KEY, F.size(F.collect_set("Material").over(w)).alias("CountUniqueMaterials"),
-                        F.count("Material").over(w).alias("CountLines"))
+    lines = op.count_distinct_over(b.order_lines(spark, d).select(*LINE_KEY), ["SalesOrderId"], "Material",
+                                   "CountUniqueMaterials", "CountLines")
+    return lines.select(*LINE_KEY, "CountUniqueMaterials", "CountLines")
 
 
 def q_rank_ties(spark, d):
     """L2/K2: per order the warehouse(s) with the most lines, ties kept."""
-    lines = b.order_lines(spark, d)
-    per = lines.groupBy("SalesOrderId", "MarsDc").agg(F.count(F.lit(1)).alias("n_lines"))
-    w = Window.partitionBy("SalesOrderId").orderBy(F.col("n_lines").desc())
-    return per.withColumn("rnk", F.dense_rank().over(w)).where(F.col("rnk") == 1).select(
-        "SalesOrderId", "MarsDc", "n_lines")
+    return op.most_frequent(b.order_lines(spark, d), ["SalesOrderId"], ["MarsDc"], "n_lines")
 
 
 # -- step 4 -------------------------------------------------------------------

@@ -8,9 +8,23 @@ failure overwrites whole outputs or whole partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
+from ..session import checkpoint_dir
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """A sub-result that several branches read: written to the shared checkpoint folder and read back.
+
+    Its inputs are read once however many branches there are, a lost executor costs
+    a re-read, and the planner sees the real size.  Runs a job; columns keep their types.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def write_overwrite(df: DataFrame, path: str) -> None:
     """Replace the dataset at ``path``."""

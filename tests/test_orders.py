@@ -125,3 +125,13 @@ def test_division_like_the_plain_version(spark, exact):
     out = whole_order_feasible(covered(spark, data), exact)
     got = [(*r[:-1], None if r[-1] is None else round(r[-1], 9)) for r in out.collect()]
     assert want and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_best_donor_names_each_donor_that_wins_most(spark):
+    feas = spark.createDataFrame([
+        (1, m, 0, d, float(stock), 0.4) for m, best in (("A", 7), ("B", 8), ("C", 8), ("D", 9), ("E", 9), ("F", 7))
+        for d, stock in ((7, 5), (8, 5), (9, 5), (best, 6))],
+        "SalesOrderId bigint, Material string, MarsDc int, DonorPlant int, FREE_STOCK double, CsPreSlSalesOrder double")
+    out = best_donor(feas, separator="/", parts=("", ":", "")).collect()
+    assert [(r["SalesOrderId"], r["Alert"], r["AlertPriority"]) for r in out] == [(1, "7/8/9:60", 6)]
+    assert out[0].__fields__ == ["SalesOrderId", "Alert", "AlertPriority"]
