@@ -56,8 +56,8 @@ from .components import components
 from .merkle import placed
 
 SHINGLE, K, RUN, PERCENT, LEAST, LIGHT = 2, 64, 3, 80, 29, 32
-WORDS = 400_000  # words that a task knows
-CHUNK = 1 << 21  # entries of inverted lists that a task settles at a time
+WORDS = 200_000  # words that a task knows
+CHUNK = 1 << 18  # entries of inverted lists that a task settles at a time
 TILE, TILE_VALUES = 512, 1 << 22  # nodes of a tile, and values at most
 BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)  # odd multipliers of the one hash
 
@@ -354,7 +354,7 @@ def groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent:
     roots = C.materialise(_roots(nodes, links), "roots")
     # long lists that hold more than one component
     lists = long_.join(roots, "node")
-    open_ = lists.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("key")
+    open_ = C.materialise(lists.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("key"), "open")
     left = C.materialise(lists.join(open_, "key").select("node").distinct(), "left")
     if left.limit(1).count():
         again = C.materialise(_rest(sets.join(left, "node"), roots, percent, light), "links")
