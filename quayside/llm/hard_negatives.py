@@ -5,14 +5,14 @@ inner product; a positive of score p has for negatives the best ``NEGATIVES`` ro
 labels with scores from ``LOW`` to ``HIGH`` percent of p.  Ties go to the smaller id.
 
 Rows are dealt to cells, which hold their vectors by dimension.  An anchor reads a
-cell's dimensions in descending order of its own magnitudes, ``STEP`` at a time.  Of what
-remains, each column's least and greatest value bound the contribution, and so does the
-length of the row's remaining part; the sums of both give every candidate an
+cell's dimensions in descending order of its own magnitudes, in the parts that
+``CUTS`` gives.  Of what remains, each column's least and greatest value bound the
+contribution; with their sums every candidate's score so far becomes an
 interval, and a bitmap keeps the candidates whose interval still matters:
 
 * positives: it reaches the k-th best lower end;
-* negatives: for some positive it meets the window and reaches the k-th best lower
-  end among the candidates that are sure to be in that window.
+* negatives: it meets the windows of the anchor's positives, and reaches the least of their k-th best
+  lower ends among candidates that are sure to be in that window.
 
 What is left when all dimensions are read has its exact score.  The best of each cell
 are ranked by anchor.  Anchors meet only the cells of their own label for positives,
@@ -42,7 +42,8 @@ from . import common as C
 
 EVERY, SCALE, POSITIVES, NEGATIVES, LOW, HIGH = 50, 256, 5, 3, 50, 95
 NOISE, LABELS = 7, 10
-CELL_ROWS, LEAST_ROWS, SPREAD, STEP = 65536, 2048, 32, 8
+CELL_ROWS, LEAST_ROWS, SPREAD = 65536, 8192, 32
+CUTS = (4, 6, 7, 8)  # eighths of the dimensions after which candidates are left out
 FOUND = "anchor_id long, place int, vec_id long, score long"
 
 
@@ -61,70 +62,84 @@ class Cell:
     def __init__(self, ids: np.ndarray, labels: np.ndarray, v: np.ndarray):
         self.ids, self.labels = ids, labels
         self.x = np.ascontiguousarray(v.T)
-        most = float(np.abs(v).max(initial=0))
-        self.wide = most
-        self.low, self.high = (self.x.min(1), self.x.max(1)) if len(ids) else (self.x.sum(1), self.x.sum(1))
-        self.square = (v.astype(np.float64) ** 2).sum(1)
-        self.real = self.x.astype(np.float64)
+        self.wide = max(1.0, float(np.abs(v).max(initial=0)))
+        self.low, self.high = self.x.min(1, initial=0), self.x.max(1, initial=0)
+        if len(ids):
+            self.low, self.high = self.x.min(1), self.x.max(1)
+        self.kinds: dict[type, np.ndarray] = {np.int64: self.x}
         self.read = 0  # components read so far
 
-    def scan(self, q: np.ndarray, rows: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, exact scores) of those of ``rows`` that ``keep(low, high)`` let through to the end."""
+    def of(self, kind: type) -> np.ndarray:
+        if kind not in self.kinds:
+            self.kinds[kind] = self.x.astype(kind)
+        return self.kinds[kind]
+
+    def scan(self, q: np.ndarray, mask: np.ndarray, interval) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, exact scores) of the rows of ``mask`` whose score can be in an interval to the end.
+
+        ``interval(scores, least, most)`` gives its ends from the candidates' scores so far and the bounds of what remains.
+        """
         order = np.argsort(-np.abs(q), kind="stable")
-        exact = len(q) * max(1.0, float(np.abs(q).max(initial=0))) * max(1.0, self.wide) < 2.0 ** 52
-        x, qs = (self.real, q.astype(np.float64)) if exact else (self.x, q)
-        ends = np.stack([q * self.low, q * self.high])[:, order].astype(np.float64)
-        zero = np.zeros(1)
-        least = np.concatenate([np.cumsum(ends.min(0)[::-1])[::-1], zero])
-        most = np.concatenate([np.cumsum(ends.max(0)[::-1])[::-1], zero])
-        left = np.sqrt(np.concatenate([np.cumsum((q.astype(np.float64)[order] ** 2)[::-1])[::-1], zero]))
-        score, rest = np.zeros(len(rows), x.dtype), self.square[rows]
-        for at in range(0, len(q), STEP):
-            dims = order[at:at + STEP]
-            part = x[dims][:, rows] if len(rows) < len(self.ids) else x[dims]
+        bound = len(q) * max(1.0, float(np.abs(q).max(initial=0))) * self.wide  # sums of integers are exact well below the mantissa
+        kind = np.float32 if bound < 2.0 ** 22 else np.float64 if bound < 2.0 ** 50 else np.int64
+        x, qs = self.of(kind), q.astype(kind)
+        ends = np.stack([q * self.low, q * self.high])[:, order]
+        least, most = ends.min(0, initial=1 << 62), ends.max(0, initial=-(1 << 62))
+        rows, bitmap = None, mask
+        score = np.zeros(len(self.ids), kind)
+        at = 0
+        for to in sorted({-(-len(q) * c // 8) for c in CUTS}):
+            dims = order[at:to]
+            part = x[dims] if rows is None else x[dims][:, rows]
             self.read += part.size
             score = score + qs[dims] @ part
-            to = at + len(dims)
-            if to == len(q):
-                break
-            rest = np.maximum(rest - (part.astype(np.float64) ** 2).sum(0), 0)
-            reach = left[to] * np.sqrt(rest) * (1 + 1e-9) + 1
-            low, high = score + np.maximum(least[to], -reach), score + np.minimum(most[to], reach)
-            slack = 1e-9 * (np.abs(score).max(initial=0) + abs(least[to]) + abs(most[to]))
-            bitmap = keep(low - slack, high + slack)
-            if not bitmap.all():
-                rows, score, rest = rows[bitmap], score[bitmap], rest[bitmap]
-            if not len(rows):
-                break
-        return rows, score.astype(np.int64)
+            at = to
+            if to < len(q):
+                rest = int(least[to:].sum()), int(most[to:].sum())
+                low, high = interval(score[bitmap], *rest)
+                bitmap = bitmap & (score >= low - rest[1]) & (score <= high - rest[0])
+                left = int(bitmap.sum())
+                if 2 * left < len(bitmap):  # so few that the others are worth leaving out
+                    rows = np.flatnonzero(bitmap) if rows is None else rows[bitmap]
+                    score, bitmap = score[bitmap], np.ones(left, bool)
+                if not left:
+                    break
+        rows = np.flatnonzero(bitmap) if rows is None else rows[bitmap]
+        return rows, score[bitmap].astype(np.int64)
 
     def best(self, rows: np.ndarray, score: np.ndarray, k: int) -> list[tuple[int, int]]:
+        if len(rows) > 8 * k:
+            keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+            rows, score = rows[keep], score[keep]
         order = np.lexsort((self.ids[rows], -score))[:k]
         return [*zip(self.ids[rows[order]].tolist(), score[order].tolist())]
 
     def positives(self, anchor: int, label: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(id, score) of the k best other rows of the label."""
-        def keep(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            return high >= (np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -np.inf)
+        def interval(score: np.ndarray, least: int, most: int) -> tuple[float, float]:
+            return kth(score, k) + least if len(score) >= k else -np.inf, np.inf
 
-        rows, score = self.scan(q, np.flatnonzero((self.labels == label) & (self.ids != anchor)), keep)
-        return self.best(rows, score, k)
+        return self.best(*self.scan(q, (self.labels == label) & (self.ids != anchor), interval), k)
 
     def negatives(self, anchor: int, label: int, q: np.ndarray, windows: list[tuple[int, int]], k: int) -> list[list[tuple[int, int]]]:
         """For each window of scores, (id, score) of the k best rows of other labels in it."""
-        def keep(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            bitmap = np.zeros(len(low), bool)
+        def interval(score: np.ndarray, least: int, most: int) -> tuple[float, float]:
+            lows = []
             for a, b in windows:
-                sure = low[(low >= a) & (high <= b)]
-                bitmap |= (high >= (np.partition(sure, len(sure) - k)[len(sure) - k] if len(sure) >= k else a)) & (low <= b)
-            return bitmap
+                sure = score[(score >= a - least) & (score <= b - most)] if a - least <= b - most else score[:0]
+                lows.append(max(a, kth(sure, k) + least) if len(sure) >= k else a)
+            return min(lows), max(b for _, b in windows)
 
         if not any(a <= b for a, b in windows):
             return [[] for _ in windows]
-        rows, score = self.scan(q, np.flatnonzero((self.labels != label) & (self.ids != anchor)), keep)
+        rows, score = self.scan(q, (self.labels != label) & (self.ids != anchor), interval)
         return [self.best(rows[at], score[at], k) for a, b in windows for at in [(score >= a) & (score <= b)]]
 
 
+def kth(score: np.ndarray, k: int) -> int:
+    return int(np.partition(score, len(score) - k)[len(score) - k])
+
+
 def window(score: int, low: int = LOW, high: int = HIGH) -> tuple[int, int]:
     """The least and greatest integer from low to high percent of a score."""
     return -(-low * score // 100), high * score // 100
