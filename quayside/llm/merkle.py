@@ -302,6 +302,7 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, source: str = "s
     named = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))  # null before all
     leaves = docs.select(named.alias("tree"), F.col(doc_id).cast("long").alias("doc_id"), digest([F.col(f) for f in fields]).alias("digest"),
                          (F.lit(None).cast("binary") if changed is None else changed).alias("changed"))
+    leaves = C.materialise(leaves, "digests")  # texts are read once; the ranges below sample and deal digests
     leaves = C.materialise(placed(leaves, ["doc_id", "digest"]), "leaves")
     log = append_log(leaves)
     subroots = roots(log).select(F.lit("").alias("tree"), F.col("tree").alias("source"), "digest")
