@@ -131,3 +131,87 @@ def base_lm(docs):
     n, v = sum(c.values()), len(c)
     return {d: (held[d], len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws))
             for d, ws in toks.items()}
+
+
+def _runs(nodes):
+    return [nodes[i:i + 16] for i in range(0, len(nodes), 16)]
+
+
+def _tree(leaves):
+    """Levels of digests from the leaves to the root."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([sha("".join(r)) for r in _runs(levels[-1])])
+    return levels
+
+
+def _climb(levels, i, now):
+    """(siblings on the way up from leaf i, the root that ``now`` folds to in its place)."""
+    proof = []
+    for level in levels[:-1]:
+        run, at = _runs(level)[i // 16], i % 16
+        proof += run[:at] + run[at + 1:]
+        now = sha("".join(run[:at] + [now] + run[at + 1:]))
+        i //= 16
+    return proof, now
+
+
+def merkle(rows):
+    """Contract rows of (doc_id, source, lang, n_chars, text)."""
+    def leaf(r):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    sources = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    for s in sources:
+        by[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {s: _tree([leaf(r) for r in by[s]]) for s in sources}
+    top = _tree([trees[s][-1][0] for s in sources])
+    out = []
+    for k, s in enumerate(sources):
+        for i, r in enumerate(by[s]):
+            now = leaf((*r[:4], low(r[4])) if r[0] is not None and r[4] is not None and crc32(str(r[0]).encode()) % 5 == 0 else r)
+            p1, now = _climb(trees[s], i, now)
+            p2, now = _climb(top, k, now)
+            root = top[-1][0]
+            out.append((r[0], leaf(r), trees[s][-1][0], root, sha("".join(p1 + p2)), now, now == root))
+    return out
+
+
+def negatives(rows):
+    """Contract rows of (vec_id, vector, label), ids distinct."""
+    ok = [(i, [math.floor(256 * x) for x in v], (l + 1) % 10 if i % 7 == 0 else l) for i, v, l in rows
+          if None not in (i, v, l) and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, v, l in ok:
+        if a % 50:
+            continue
+        s = sorted((-sum(x * y for x, y in zip(v, w)), i, m == l) for i, w, m in ok if i != a and len(w) == len(v))
+        for p, i, _ in [x for x in s if x[2]][:5]:
+            hard = [(n, j) for n, j, same in s if not same and 50 * -p <= 100 * -n <= 95 * -p][:3]
+            out += [(a, i, k + 1, j, -p, -n) for k, (n, j) in enumerate(hard)]
+    return out
+
+
+def shingle_groups(docs, percent=80):
+    """(doc_id, n_shingles, component_id) by comparing all pairs of distinct sets."""
+    sets = []
+    for d, t in docs:
+        w = WORD.findall(low(t or ""))
+        sets.append(frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset(map(tuple, [w])) if w else frozenset())
+    kinds = sorted({s for s in sets if s}, key=lambda s: (len(s), sorted(s)))
+    links = []
+    for i, a in enumerate(kinds):
+        for j in range(i):
+            b = kinds[j]
+            if 100 * len(b) >= percent * len(a) and 100 * len(a & b) >= percent * len(a | b):
+                links.append((i, j))
+    comp = components(range(len(kinds)), links)
+    place = {s: comp[i] for i, s in enumerate(kinds)}
+    least = {}
+    for (d, _), s in zip(docs, sets):
+        if s and d is not None:
+            least[place[s]] = min(d, least.get(place[s], d))
+    return [(d, len(s), least.get(place[s]) if s else d) for (d, _), s in zip(docs, sets)]
