@@ -102,7 +102,7 @@ def coded_text_lookup(classes: DataFrame, class_values: DataFrame) -> DataFrame:
 def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataFrame, material_text: DataFrame,
                        uom_text: DataFrame, brand_text: DataFrame, segment_text: DataFrame, classes: DataFrame,
                        class_values: DataFrame, language: str = "EN", first: str = "2000-01-01",
-                       last: str = "9999-12-31", audit: bool = True, history: bool = False) -> DataFrame:
+                       last: str = "9999-12-31", audit: bool = True, history: bool = False, report=None) -> DataFrame:
     """One row per shipped material with texts, units, weights, volume, validity.
 
     The attribute history is cut to its latest load per material before the
@@ -111,8 +111,10 @@ def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataF
     come from the loads alone, so a lookup that fans out repeats them.
     Weights in grams become kilograms, piece weights
     in kilograms become grams, the volume is the product of the lengths in cm.
-    ``audit`` adds the load time (``current_timestamp``).
+    ``audit`` adds the load time (``current_timestamp``: one value a run).  A ``report``
+    (``plans.checks.JobReport``) counts the rows after each lookup and the unit values that don't convert.
     """
+    step = report.step if report is not None else lambda name, df, lookup=None, keys=(): df
     loads = normalize_units(attr_history if history else latest_attributes(attr_history))
     a = validity_interval(loads, ["MATNR_PK"], "LAEDA", ["LOAD_DATE", "DI_SEQUENCE_NUMBER"], first, last,
                           "__from", "__to").alias("a")
@@ -123,19 +125,24 @@ def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataF
     brand = brand_text.select(F.col("CHRCOD_PK").alias("__brand_code"), F.col("VTEXT").alias("__brand_text"))
     cls = coded_text_lookup(classes, class_values).select(F.col("MATNR_PK").alias("__cls_mat"), "UDCTECH001", "TEXT")
     seg = segment_text.select(F.col("CHRCOD_PK").alias("__seg_code"), F.col("VTEXT").alias("__seg_text"))
-    j = (a.join(s, F.col("a.MATNR_PK") == F.col("s.__ship_mat"))
-         .join(uom, F.col("__uom_code") == F.col("a.ZZCLF20"), "left")
-         .join(u, F.col("__unit_mat") == F.col("a.MATNR_PK"), "left")
-         .join(txt, F.col("__txt_mat") == F.col("a.MATNR_PK"), "left")
-         .join(brand, F.col("__brand_code") == F.col("a.ZZCLF03"), "left")
-         .join(cls, F.col("__cls_mat") == F.col("a.MATNR_PK"), "left")
-         .join(seg, F.col("__seg_code") == F.col("a.ZZCLF02"), "left"))
+    j = step("shipped materials", a.join(s, F.col("a.MATNR_PK") == F.col("s.__ship_mat")))
+    for name, lookup, keys, on in (
+            ("uom_text", uom, ["__uom_code"], F.col("__uom_code") == F.col("a.ZZCLF20")),
+            ("units", u, ["__unit_mat"], F.col("__unit_mat") == F.col("a.MATNR_PK")),
+            ("material_text", txt, ["__txt_mat"], F.col("__txt_mat") == F.col("a.MATNR_PK")),
+            ("brand_text", brand, ["__brand_code"], F.col("__brand_code") == F.col("a.ZZCLF03")),
+            ("classes", cls, ["__cls_mat"], F.col("__cls_mat") == F.col("a.MATNR_PK")),
+            ("segment_text", seg, ["__seg_code"], F.col("__seg_code") == F.col("a.ZZCLF02"))):
+        j = step(name, j.join(lookup, on, "left"), lookup, keys)
+    pieces, show_boxes = (F.col(f"{unit}_UMREN").try_cast("int") for unit in ("ST", "SB"))
+    if report is not None:
+        j = report.casts(j, {"Material_PC2Case": (F.col("ST_UMREN"), pieces), "Material_ShowBox__UOM": (F.col("SB_UMREN"), show_boxes)})
     cols = [
         F.col("a.MATNR_PK").alias("Material_Code__PK"),
         F.col("a.ZZREPMATNR").alias("Material_ZREP"),
         F.col("__uom_text").alias("Material_UnitOfMeasure"),
         F.col("a.MEINS").alias("Material_BaseUnitOfMeasure"),
-        F.col("ST_UMREN").try_cast("int").alias("Material_PC2Case"),
+        pieces.alias("Material_PC2Case"),
         F.col("TXTMD").alias("Material_Description"),
         F.col("__brand_text").alias("Brand_Name"),
         F.col("TEXT").alias("Technology_Name"),
@@ -147,7 +154,7 @@ def material_dimension(attr_history: DataFrame, shipped: DataFrame, units: DataF
         F.col("a.SPART").alias("BusinessSegment_Code"),
         F.col("a.__from").alias("Material_StartDate__PK"),
         F.col("a.__to").alias("Material_EndDate"),
-        F.col("SB_UMREN").try_cast("int").alias("Material_ShowBox__UOM"),
+        show_boxes.alias("Material_ShowBox__UOM"),
         kg_to_grams(F.col("ST_ZZNTGEW"), F.col("ST_GEWEI")).cast("double").alias("Material_PieceNetWeight__UOM"),
         F.col("a.ZZCLF03").alias("Brand_Code"),
         F.col("UDCTECH001").alias("Tech_Code"),

@@ -12,39 +12,45 @@ from .joins import guarded_left_join
 
 
 def merge_decisions(lines: DataFrame, stock_alert: DataFrame, later_alert: DataFrame, quota_alert: DataFrame,
-                    materials: DataFrame, source_columns: Sequence[str], donor_alert: DataFrame | None = None
-                    ) -> DataFrame:
+                    materials: DataFrame, source_columns: Sequence[str], donor_alert: DataFrame | None = None,
+                    report=None) -> DataFrame:
     """Left-join every alert onto the order lines and decide.
 
     ``lines`` is the output of ``discontinued_alert`` over the flagged lines.
     Decision = first non-NULL of 1 price, 2 discontinued, 3 later order,
     4 quota, 5 restock, else 0; the description concatenates all texts in
-    that order.  Each alert is unique on its join key, so the line count is
-    preserved.  The quota join holds two left-only predicates in its ON
+    that order.  Each alert must be unique on its join key, so that the line count is
+    preserved: with a ``report`` (``plans.checks.JobReport``) the rows after each join are
+    counted as the result is written.  The quota join holds two left-only predicates in its ON
     clause (allocated, nothing available): lines failing them stay, without
     quota.  The donor alert (6) feeds neither decision nor text in the
     original job; it is joined only when given and then exposed as columns.
     """
-    j = lines
+    step = report.step if report is not None else lambda name, df, lookup=None, keys=(): df
+    j = step("lines", lines)
     if donor_alert is not None:
         d = donor_alert.select(F.col("SalesOrderId").alias("__d_order"), F.col("Alert").alias("DonorAlert"),
                                F.col("AlertPriority").alias("DonorAlertPriority"))
         j = j.join(d, j["SalesOrderId"] == d["__d_order"], "left").drop("__d_order")
+        j = step("donor alert", j, d, ["__d_order"])
     s = stock_alert.select(F.col("SalesOrderId").alias("__s_order"), F.col("Material").alias("__s_mat"),
                            F.col("PositionNumber").alias("__s_pos"), F.col("MarsDc").alias("__s_dc"),
                            F.col("Alert").alias("__s_alert"), F.col("AlertPriority").alias("__s_prio"))
     j = j.join(s, (j["Material"] == s["__s_mat"]) & (j["PositionNumber"] == s["__s_pos"])
                & (j["MarsDc"] == s["__s_dc"]) & (j["SalesOrderId"] == s["__s_order"]), "left")
+    j = step("restock alert", j, s, ["__s_order", "__s_mat", "__s_pos", "__s_dc"])
     lo = later_alert.select("A_SalesOrderId", "A_Material", "A_SoldTo", F.col("Alert").alias("__l_alert"),
                             F.col("AlertPriority").alias("__l_prio"))
     j = j.join(lo, (j["SalesOrderId"] == lo["A_SalesOrderId"]) & (j["Material"] == lo["A_Material"])
                & (j["SoldTo"] == lo["A_SoldTo"]), "left")
+    j = step("later-order alert", j, lo, ["A_SalesOrderId", "A_Material", "A_SoldTo"])
     q = quota_alert.select("Alert4_Material", "Alert4_Customer", F.col("Alert").alias("__q_alert"),
                            F.col("AlertPriority").alias("__q_prio"))
     j = guarded_left_join(j, q, (j["Material"] == q["Alert4_Material"]) & (j["Customer"] == q["Alert4_Customer"]),
                           is_true(j["Allocation"]) & (j["AllocationAvailable"] == 0))
+    j = step("quota alert", j, q, ["Alert4_Material", "Alert4_Customer"])
     m = materials.select(F.col("MATERIAL").alias("__m_mat"), "Brand")
-    j = j.join(m, j["Material"] == m["__m_mat"], "left")
+    j = step("materials", j.join(m, j["Material"] == m["__m_mat"], "left"), m, ["__m_mat"])
     decision = F.coalesce(F.col("FlagPriceDisagreement"), F.col("DiscontinueAlertPriority"), F.col("__l_prio"),
                           F.col("__q_prio"), F.col("__s_prio"), F.lit(0))
     description = F.concat(empty_if_null("AlertPriceDisagreement"), F.col("DiscontinueAlert"),
@@ -86,13 +92,15 @@ TYPED_NULL_COLUMNS = ("SiKg", "SiRur", "SiPcs", "SiCase")
 
 
 def typed_output(df: DataFrame, contract: Sequence[tuple[str, str, int | None]] = OUTPUT_CONTRACT,
-                 promo_placeholder: int = 0) -> DataFrame:
+                 promo_placeholder: int = 0, report=None) -> DataFrame:
     """C20: one projection to the output contract (order, names, types).
 
+    A value that doesn't convert becomes NULL; a ``report`` (``plans.checks.JobReport``) counts them by column.
+
     ``Promo`` is a placeholder constant, the ``Si*`` columns are typed NULLs and
     ``Subbrand`` is ``Brand`` and ``Technology`` joined by a space (NULLs skipped).
     """
-    cols = []
+    cols, have, checked = [], dict(df.dtypes), {}
     for name, typ, _width in contract:
         if name == "Promo":
             e = F.lit(promo_placeholder)
@@ -103,4 +111,8 @@ def typed_output(df: DataFrame, contract: Sequence[tuple[str, str, int | None]]
         else:
             e = F.col(name)
         cols.append(e.try_cast(typ).alias(name))  # a dirty value becomes NULL, not a failed job
+        if typ != "string" and have.get(name, typ) != typ and name != "Promo":
+            checked[name] = (e, e.try_cast(typ))
+    if report is not None:
+        df = report.casts(df, checked)
     return df.select(*cols)

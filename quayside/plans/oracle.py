@@ -414,7 +414,8 @@ def with_ctes(final: str, *needs: str) -> str:
 LINE_KEY = "SalesOrderId, PositionNumber, Material, MarsDc, FactPlanBillingDate"
 
 
-def _typed_output_sql() -> str:
+def _typed_output_sql(partition: str | None = None) -> str:
+    """With ``partition``, an expression over the quotas: those of the run's partition only, which the result names."""
     from ..operators.merge import OUTPUT_CONTRACT, TYPED_NULL_COLUMNS
     duck = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
     cols = []
@@ -430,7 +431,11 @@ def _typed_output_sql() -> str:
         else:
             e = name
         cols.append(f"CAST({e} AS {duck[typ]}) AS {name}")
-    return with_ctes("SELECT " + ", ".join(cols) + " FROM dec", "dec")
+    if partition is None:
+        return with_ctes("SELECT " + ", ".join(cols) + " FROM dec", "dec")
+    name, value = P.PARTITION
+    whole = with_ctes("SELECT " + ", ".join(cols) + f", {s(value)} AS {name} FROM dec", "dec")
+    return whole.replace("FROM quotas\n        WHERE ", f"FROM quotas\n        WHERE {partition} = {s(value)} AND ")
 
 
 DIMENSION = """
@@ -528,6 +533,7 @@ SQL: dict[str, str] = {
         FROM dec LEFT JOIN bd ON dec.SalesOrderId = bd.SalesOrderId""", "dec", "bd"),
     "typed_output": _typed_output_sql(),
     "decisions_from_files": _typed_output_sql(),
+    "decisions_for_partition": _typed_output_sql("CASE WHEN Customer % 2 = 0 THEN 'even' ELSE 'odd' END"),
     "dimension_from_files": with_ctes(DIMENSION.format(loads="an"), "an", "shipped", "up", "ctext"),
     "active_sites": with_ctes("SELECT * FROM sites", "sites"),
     "shipped_materials": with_ctes("SELECT MATNR FROM shipped", "shipped"),

@@ -12,10 +12,11 @@ AS_OF = "2000-12-31"                      # run date (replaces current_date())
 WAREHOUSES = [0, 1, 2]                    # warehouses whose orders are checked for donors
 DONOR_PAIRS = [(w, (w + k) % 5) for w in range(5) for k in (1, 2)]   # (source, donor)
 PRICE_TOLERANCE = 1000.0                  # |expected - price| above this is flagged
-SALES_ORG = 261                           # item filter: sales organisation
-DIVISION_CODE = 5                         # item filter: division
+SALES_ORG = 100                           # item filter: sales organisation
+DIVISION_CODE = 2                         # item filter: division
+PARTITION = ("partition_group", "even")   # the partition of the quotas and of the result: customers with even numbers
 DRY_BRANDS = ("Brand#1",)                 # brands classified DRY whatever their technology
-TRANSPORT_DIVISION = "Petcare"
+TRANSPORT_DIVISION = "Division 2"
 SITE_PREFIXES = ("view", "click")         # address-type prefixes counted as sites
 CREATED_FROM = "1999-12-29"               # shipment items created on/after
 ISSUED_FROM = "2000-01-01"                # goods issue on/after

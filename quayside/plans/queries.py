@@ -302,18 +302,33 @@ def _files(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> dict
     return {t: f"{root}/{t}" for t in tables} | {"root": root}
 
 
-def q_decisions_from_files(spark, d):
-    """The decision job from dataset paths: its inputs written as files (routes as CSV with other columns
-    and their order changed, stock by partition) and read back by their contracts."""
+def _open_order_files(spark, d, quotas_by: str | None = None) -> tuple[OpenOrderPaths, str]:
+    """The decision job's inputs as files: routes as CSV with other columns and their order changed, stock by partition."""
     inp = LazyOpenOrderInputs(spark, d)
-    names = [f.name for f in fields(OpenOrderPaths) if f.name not in ("transit", "stock")]
+    names = [f.name for f in fields(OpenOrderPaths) if f.name not in ("transit", "stock", *(["quotas"] if quotas_by else []))]
     paths = _files(spark, "open-orders", {n: getattr(inp, n) for n in names})
     root = paths.pop("root")
     routes = inp.transit.select("TransitQIdays", F.lit("x").alias("note"), "Tech", "to4", "from2")
     routes.write.option("header", "true").csv(f"{root}/transit")
     write_partitions(inp.stock, f"{root}/stock", ["WAREHOUSE"])
-    return open_order_job(spark, OpenOrderPaths(**paths, transit=f"{root}/transit", stock=f"{root}/stock"),
-                          open_order_params(), P.DONOR_PAIRS, f"{root}/result", warehouse_type="int")
+    if quotas_by:
+        division = F.when(F.col("Customer") % 2 == 0, F.lit("even")).otherwise(F.lit("odd"))
+        write_partitions(inp.quotas.withColumn(quotas_by, division), f"{root}/quotas", [quotas_by])
+    paths |= {n: f"{root}/{n}" for n in ("transit", "stock", "quotas")}
+    return OpenOrderPaths(**paths), root
+
+
+def q_decisions_from_files(spark, d):
+    """The decision job from dataset paths: its inputs written as files and read back by their contracts."""
+    paths, root = _open_order_files(spark, d)
+    return open_order_job(spark, paths, open_order_params(), P.DONOR_PAIRS, f"{root}/result", warehouse_type="int")
+
+
+def q_decisions_for_partition(spark, d):
+    """The decision job of one division: its partition of the quotas is read, its partition of the result replaced."""
+    paths, root = _open_order_files(spark, d, P.PARTITION[0])
+    return open_order_job(spark, paths, open_order_params(), P.DONOR_PAIRS, f"{root}/result", warehouse_type="int",
+                          partition=P.PARTITION)
 
 
 def q_dimension_from_files(spark, d):
@@ -362,5 +377,6 @@ QUERIES: dict[str, Query] = {
     "material_dimension_history": q_material_dimension_history,
     "decisions_with_donor": q_decisions_with_donor,
     "decisions_from_files": q_decisions_from_files,
+    "decisions_for_partition": q_decisions_for_partition,
     "dimension_from_files": q_dimension_from_files,
 }

@@ -36,17 +36,21 @@ def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema: St
     return reader.load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",", report=None) -> DataFrame:
     """S3: CSV with a header and an explicit schema, matched by column **name**.
 
     Columns are read as text under the names in the header (no inference job),
     then picked by name and converted; a value that does not convert is NULL,
-    a column that the header lacks is an error, others are left out.
+    a column that the header lacks is an error, others are left out.  A ``report``
+    (``plans.checks.JobReport``) counts the values that don't convert.
     """
     raw = spark.read.option("header", "true").option("sep", sep).csv(path)
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     assert_columns(raw, wanted.names, path)
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+    values = {f.name: (F.col(f"`{f.name}`"), F.col(f"`{f.name}`").try_cast(f.dataType)) for f in wanted.fields}
+    if report is not None:
+        raw = report.casts(raw, {f.name: values[f.name] for f in wanted.fields if f.dataType.typeName() != "string"})
+    return raw.select(*[cast.alias(name) for name, (_, cast) in values.items()])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ def mats(spark, *rows_):
     return prepare_materials(spark.createDataFrame(list(rows_), MAT_DDL), technology_rules())
 
 
-def item(vbeln, posnr, matnr, po, qty, amount, price, num=1.0, den=1.0, org=261, div=5):
+def item(vbeln, posnr, matnr, po, qty, amount, price, num=1.0, den=1.0, org=100, div=2):
     return (vbeln, posnr, matnr, org, div, po, qty, num, den, amount, price)
 
 
@@ -28,7 +28,7 @@ def test_tolerance_edge_and_zero_divisors(spark):
     ], ITEM_DDL)
     soh = spark.createDataFrame([(i, 1, None, "ZOR", False) for i in range(1, 6)], SOH_DDL)
     m = mats(spark)
-    out = price_disagreement(items, soh, m, org=261, division=5)
+    out = price_disagreement(items, soh, m, org=100, division=2)
     assert rows(out, "MATERIAL_CODE", "PurchaseOrderId", "FlagPriceDisagreement") == [("", 100, 1), ("2", 100, 1)]
 
 
@@ -41,7 +41,7 @@ def test_open_sales_order_filter_keeps_null_reason(spark):
         (4, 1, None, "ZRE", False),        # other order type
         (5, 1, None, "ZOR", True),         # already issued
     ], SOH_DDL)
-    out = price_disagreement(items, soh, mats(spark), org=261, division=5)
+    out = price_disagreement(items, soh, mats(spark), org=100, division=2)
     assert rows(out, "MATERIAL_CODE") == [("1",), ("3",)]
 
 
@@ -51,7 +51,7 @@ def test_pieces_per_case_from_latest_material(spark):
              ("1", "1", dt.date(1999, 1, 1), None, None, "1", "B", "Dry"))
     items = spark.createDataFrame([item(1, 1, "1", 300, 10.0, 200.0, 10.0)], ITEM_DDL)  # 200/10/2 = 10 -> ok
     soh = spark.createDataFrame([(1, 1, None, "ZOR", False)], SOH_DDL)
-    assert price_disagreement(items, soh, m, org=261, division=5).count() == 0
+    assert price_disagreement(items, soh, m, org=100, division=2).count() == 0
 
 
 def test_attach_flag_left_join(spark):
