@@ -4,10 +4,11 @@ A word's tokens are first guessed by greedy longest match.  A sequence of
 tokens is the true encoding exactly if each token encodes to itself and no
 merge that comes early enough joins two neighbours, which is tested for all
 neighbours of a batch's new words at once by walking down both tokens' merge
-histories in numpy.  Only words with a failing pair are merged exactly.
+histories in numpy.  Only words with a failing pair are merged exactly: words of up to
+``SHORT`` characters side by side, one merge of each at a time, longer ones by a heap.
 
-Texts never leave their partition: there is no shuffle, and each task keeps a
-bounded table of the words that it has met.
+Texts never leave their partition: there is no shuffle, and each task keeps the
+words that it has met lately, in two generations, with their ids and what they decode to.
 
 Null texts count as empty and have no tokens; repeated rows get a row each.
 Special tokens that occur in a text are taken as such, as the library does.
@@ -30,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import common as C
 
 VOCABULARY = "word_bpe_49k.json"
-MEMORY = 400_000  # words kept by a task
+MEMORY = 200_000  # words in each of the two generations that a task keeps
+SHORT = 48  # characters up to which words are merged side by side
 #: fixed values: the white space of the tokenizer's patterns, and its contractions
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -44,7 +46,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @lru_cache(1)
 def word_pattern() -> str:
-    """Contractions, runs of letters, single numbers, runs of anything else that isn't white."""
+    """Runs of letters, contractions, single numbers, runs of anything else that isn't white.
+
+    The tokenizer tries contractions first; they begin with no letter, so the order is the same.
+    """
     runs: dict[str, list[str]] = {"L": [], "N": []}
     for major, out in runs.items():
         start = None
@@ -56,7 +61,11 @@ def word_pattern() -> str:
                 out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
                 start = None
     letters, numbers = "".join(runs["L"]), "".join(runs["N"])
-    return f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+"
+    return f"[{letters}]+|{CONTRACTIONS}|[{numbers}]|[^{WHITE}{letters}{numbers}]+"
+
+
+#: what that comes to in lower-case ASCII
+ASCII_PATTERN = f"[a-z]+|{CONTRACTIONS}|[0-9]|[^\\t-\\r a-z0-9]+"
 
 
 def byte_alphabet() -> list[str]:
@@ -77,10 +86,18 @@ class Coder:
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        self.decimal = {i: str(i) for i in self.tokens}
         self.split = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
-        self.word, self.white = re.compile(pattern), re.compile(f"[{WHITE}]+")
+        self.word, self.ascii_word = re.compile(pattern), re.compile(ASCII_PATTERN)
         self.to_char = byte_alphabet()
-        self.longest = max(map(len, self.ids))
+        # every beginning of a token: its id if it is one itself, else -1; a blank stands for the end of a word
+        self.starts: dict[str, int] = {}
+        for t, i in self.ids.items():
+            if self.end and t.endswith(self.end):
+                t = t.removesuffix(self.end) + " "
+            for to in range(1, len(t)):
+                self.starts.setdefault(t[:to], -1)
+            self.starts[t] = i
         n = max(self.ids.values()) + 1
         self.left, self.right = np.arange(n), np.arange(n)
         pairs, made = [], []
@@ -102,7 +119,8 @@ class Coder:
         fits = self.compatible(self.left[made_], self.right[made_], made_)
         for i, ok in zip(made, fits.tolist()):
             self.sound[i] = ok and self.sound[self.left[i]] and self.sound[self.right[i]]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def compatible(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
         """For tokens a and b side by side, whether no merge would have joined across them first.
@@ -133,16 +151,52 @@ class Coder:
 
     def guess(self, w: str) -> list[int]:
         """Greedy longest match; the last token is one that ends a word."""
-        ids, end, out, at, n = self.ids, self.end, [], 0, len(w)
+        starts, out, at, n = self.starts, [], 0, len(w)
+        w += " " if self.end else ""
         while at < n:
-            if n - at <= self.longest and (t := ids.get(w[at:] + end)) is not None:
-                out.append(t)
-                return out
-            for to in range(min(n - 1, at + self.longest), at, -1):
-                if (t := ids.get(w[at:to])) is not None:
-                    out.append(t)
-                    at = to
+            to = at + 1
+            while (t := starts.get(w[at:to])) is not None:
+                if t >= 0 and (to != n or len(w) == n):  # before the end, the last character is left for a token that ends
+                    best, reached = t, to
+                if to > n:
                     break
+                to += 1
+            out.append(best)
+            at = reached
+        return out
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The token that a and b merge to, whose id is the merge's rank; ``n`` if they don't."""
+        key = a * self.n + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.made[at], self.n)
+
+    def exact_many(self, words: list[str]) -> list[list[int]]:
+        """``exact`` of short words at once: in each round every word does its next merge, the leftmost of least rank."""
+        out: list[list[int]] = [[]] * len(words)
+        wide = max(map(len, words))
+        ids = np.full((len(words), wide + 1), -1, np.int64)
+        for i, w in enumerate(words):
+            ids[i, :len(w) - 1] = [self.ids[c] for c in w[:-1]]
+            ids[i, len(w) - 1] = self.ids[w[-1] + self.end]
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        place, cols = np.arange(len(words)), np.arange(wide)
+        while len(place):
+            at = ranks.argmin(1)
+            made = ranks[np.arange(len(place)), at]
+            done = made == self.n
+            if done.any():
+                for i, row in zip(place[done].tolist(), ids[done].tolist()):
+                    out[i] = [x for x in row if x >= 0]
+                place, ids, ranks, at, made = place[~done], ids[~done], ranks[~done], at[~done], made[~done]
+            row = np.arange(len(place))
+            ids[:, :-1] = np.take_along_axis(ids, cols + (cols > at[:, None]), 1)  # what follows the pair moves up
+            ids[:, -1] = -1
+            ids[row, at] = made
+            ranks = np.take_along_axis(np.pad(ranks, ((0, 0), (0, 1)), constant_values=self.n), cols + (cols >= at[:, None]), 1)
+            ranks[row, at] = self.rank(ids[row, at], ids[row, at + 1])
+            left = at > 0
+            ranks[row[left], at[left] - 1] = self.rank(ids[row[left], at[left] - 1], made[left])
         return out
 
     def exact(self, w: str) -> list[int]:
@@ -168,15 +222,28 @@ class Coder:
 
     def learn(self, words: list[str]) -> None:
         """Adds new words to the table: guesses, tests all adjacent pairs, and merges the failing words."""
-        spelt = ["".join([self.to_char[b] for b in w.encode("utf-8", "surrogatepass")]) for w in words]
-        guesses = [self.guess(w) for w in spelt]
-        flat = np.array([t for g in guesses for t in g], np.int64)
-        owner = np.repeat(np.arange(len(words)), [len(g) for g in guesses])
+        to_char = self.to_char
+        spelt = [w if w.isascii() and w.isprintable() else "".join([to_char[b] for b in w.encode("utf-8", "surrogatepass")]) for w in words]
+        found = [self.guess(w) for w in spelt]
+        flat = np.array([t for g in found for t in g], np.int64)
+        owner = np.repeat(np.arange(len(words)), [len(g) for g in found])
         inner = owner[1:] == owner[:-1]
         fails = np.bincount(owner[~self.sound[flat]], minlength=len(words))
         fails += np.bincount(owner[1:][inner][~self.compatible(flat[:-1][inner], flat[1:][inner])], minlength=len(words))
-        for w, s, g, bad in zip(words, spelt, guesses, fails.tolist()):
-            self.known[w] = tuple(self.exact(s) if bad else g)
+        failing = sorted(np.flatnonzero(fails).tolist(), key=lambda i: len(spelt[i]))  # those of like length together
+        short = [i for i in failing if len(spelt[i]) <= SHORT]
+        for at in range(0, len(short), 4096):
+            part = short[at:at + 4096]
+            for i, ids in zip(part, self.exact_many([spelt[i] for i in part])):
+                found[i] = ids
+        for i in failing[len(short):]:
+            found[i] = self.exact(spelt[i])
+        for w, ids in zip(words, found):
+            self.known[w] = self.entry(ids)
+
+    def entry(self, ids: list[int]) -> tuple[int, str, str]:
+        """The number of tokens, their ids in decimal, and their decoded strings, each joined by spaces."""
+        return len(ids), " ".join([self.decimal[i] for i in ids]), self.decode(ids)
 
     def pieces(self, text: str) -> Iterator[list[str] | int]:
         """Lists of words of normalised stretches, and the special tokens between them."""
@@ -188,28 +255,35 @@ class Coder:
         yield self.words(text[at:])
 
     def words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no rule for a final sigma
-        return self.word.findall(self.white.sub(" ", text).lower())
+        if text.isascii():
+            return self.ascii_word.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no rule for a final sigma
+        return self.word.findall(text.lower())
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def entries(self, texts: list[str | None]) -> Iterator[list[tuple[int, str, str]]]:
+        """For each text, the entries of its words and special tokens."""
         split = [[*self.pieces(t or "")] for t in texts]
         if len(self.known) > MEMORY:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         new = {w for p in split for x in p if not isinstance(x, int) for w in x}.difference(self.known)
+        if self.older:
+            again = [w for w in new if w in self.older]
+            self.known.update((w, self.older[w]) for w in again)
+            new.difference_update(again)
         if new:
             self.learn([*new])
-        known, out = self.known, []
+        known = self.known
         for p in split:
-            ids: list[int] = []
+            out: list[tuple[int, str, str]] = []
             for x in p:
                 if isinstance(x, int):
-                    ids.append(x)
+                    out.append(self.entry([x]))
                 else:
-                    for w in x:
-                        ids += known[w]
-            out.append(ids)
-        return out
+                    out += map(known.__getitem__, x)
+            yield out
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [[int(i) for e in es if e[0] for i in e[1].split(" ")] for es in self.entries(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' strings joined by spaces, as for a vocabulary file without a decoder."""
@@ -268,11 +342,10 @@ def round_trip(docs: DataFrame, text: str = "text", path: str | None = None) ->
     def work(coder: Coder, texts: list) -> Iterator[tuple]:
         from hashlib import sha256
 
-        decimal = [str(i) for i in range(max(coder.tokens) + 1)]
         for a, b in batches(texts):
-            for ids in coder.encode(texts[a:b]):
-                yield (len(ids), sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest(),
-                       sha256(coder.decode(ids).encode()).hexdigest())
+            for es in coder.entries(texts[a:b]):
+                n, ids, decoded = zip(*es) if es else ((), (), ())
+                yield sum(n), sha256(" ".join(ids).encode()).hexdigest(), sha256(" ".join(decoded).encode()).hexdigest()
 
     return _coded(docs, text, [("n_tokens", pa.int64(), "long"), ("ids_sha256", pa.string(), "string"),
                                ("decoded_sha256", pa.string(), "string")], work, path)
