@@ -11,9 +11,12 @@ weights stay as ``PRIOR`` pseudo-counts).  Bytes that no piece spells have byte
 Words are counted in tasks before they are shuffled.  To score, a document
 sends its distinct words to shards by a hash of the word, packed into one row a
 shard; a shard has the counts of its words and computes each word's lattice
-once; sums by document come back.  A frequent word is one entry of a row, so no
-key is hot, and only the piece table (bounded by the vocabulary) and totals
-reach the driver.
+once; sums by document come back.  A shard is split by documents, so that a split has about
+``SPLIT_TOKENS`` tokens of training text however many documents there are; each split gets the
+shard's counts.  A frequent word is one entry of a row, so no
+key is hot; the end, which every document has, is sent to a shard by the document, and its count to all.
+Only the piece table (bounded by the vocabulary) and totals reach the driver.
+A row is known by its id and 128 bits of its text's digest.
 
 Null texts count as empty: one end.  A null id counts as the empty string when
 texts are split into training and held out.  Rows that repeat give a row each,
@@ -36,7 +39,7 @@ from . import common as C
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS, PRIOR, ZIPF = 1, 1000.0, 2.7
 FOLDS, HELD = 7, 2
-SHARDS, SHARD_WORDS = 64, 1 << 18
+SHARDS, SHARD_WORDS, SPLIT_TOKENS = 64, 1 << 18, 1 << 22
 COUNTED = 400_000  # distinct words that a task counts before it sends them on
 CELLS = 1 << 21  # lattice cells computed at a time
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -208,16 +211,20 @@ def train(counts: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> tuple[np.n
     return logp, end
 
 
-def _packed(docs: DataFrame, shards: int, text: str) -> DataFrame:
-    """Rows (shard, doc_id, h, words, n, tokens): a document's distinct words of each shard; tokens in one row of each."""
+def _packed(docs: DataFrame, shards: int, splits: int, text: str) -> DataFrame:
+    """Rows (shard, doc_id, h, words, n, tokens): a document's distinct words of each shard; tokens in one row of each.
+
+    ``shard`` numbers the splits of all shards.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int64())
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.int64())
         names = ["shard", "doc_id", "h", "words", "n", "tokens"]
         rows: list[tuple] = []
         for b in batches:
             for doc, h, t in zip(*[b[c].to_pylist() for c in ("doc_id", "h", "text")]):
                 found = Counter(words(t))
-                parts: dict[int, tuple[list, list]] = {crc32(END) % shards: ([END], [1])}
+                mine, at = crc32(h) % shards, crc32(h, 1) % splits
+                parts: dict[int, tuple[list, list]] = {mine: ([END], [1])}
                 for w, k in found.items():
                     s = crc32(w) % shards
                     if s in parts:
@@ -227,7 +234,7 @@ def _packed(docs: DataFrame, shards: int, text: str) -> DataFrame:
                         parts[s] = ([w], [k])
                 tokens = found.total() + 1
                 for s, (ws, ks) in parts.items():
-                    rows.append((s, doc, h, b" ".join(ws), ks, tokens))
+                    rows.append((s * splits + at, doc, h, b" ".join(ws), ks, tokens))
                     tokens = None
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
@@ -236,8 +243,8 @@ def _packed(docs: DataFrame, shards: int, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.crc32(C.whole_text(text).cast("binary")).alias("h"), F.col(text).alias("text")).mapInArrow(
-        run, "shard int, doc_id long, h long, words binary, n array<int>, tokens long")
+                       F.unhex(F.md5(C.whole_text(text).cast("binary"))).alias("h"), F.col(text).alias("text")).mapInArrow(
+        run, "shard int, doc_id long, h binary, words binary, n array<int>, tokens long")
 
 
 def _shard_sums(pieces: Pieces, logp: np.ndarray, end: float) -> Callable:
@@ -298,14 +305,17 @@ def score(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, path: str |
     pieces = read_pieces(path or vocabulary_path())
     logp, end = train(counts, pieces, rounds)
     shards = max(SHARDS, -(-distinct // SHARD_WORDS))
+    splits = max(1, -(-total // (shards * SPLIT_TOKENS)))
+    where = F.when(F.length("word") == 0, F.sequence(F.lit(0), F.lit(shards * splits - 1))).otherwise(F.transform(
+        F.sequence(F.lit(0), F.lit(splits - 1)), lambda i: (F.pmod(F.crc32("word"), F.lit(shards)) * splits + i).cast("int")))
     known = counts.select(
-        F.pmod(F.crc32("word"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"),
-        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("h"), F.col("word").alias("words"),
+        F.explode(where).alias("shard"), F.lit(0).alias("kind"),
+        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("h"), F.col("word").alias("words"),
         F.lit(None).cast("array<int>").alias("n"), F.col("n").alias("tokens"))
-    asked = _packed(docs, shards, text).select("shard", F.lit(1).alias("kind"), "doc_id", "h", "words", "n", "tokens")
+    asked = _packed(docs, shards, splits, text).select("shard", F.lit(1).alias("kind"), "doc_id", "h", "words", "n", "tokens")
     dealt = known.union(asked).repartition("shard").sortWithinPartitions("shard", "kind")
     sums = dealt.mapInArrow(_shard_sums(pieces, logp, end),
-                            "doc_id long, h long, base double, lattice double, known long, tokens long")
+                            "doc_id long, h binary, base double, lattice double, known long, tokens long")
     # rows that repeat have one key: ``tokens`` is there once a row, so its count is that of the rows
     per = sums.groupBy("doc_id", "h").agg(F.sum("base").alias("base"), F.sum("lattice").alias("lattice"), F.sum("known").alias("known"),
                                           F.sum("tokens").alias("tokens"), F.count("tokens").alias("rows"))
