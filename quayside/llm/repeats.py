@@ -26,7 +26,7 @@ anchors by MD5; the index compares bytes.
 
 Null texts count as empty.  A null id is before all others.  Rows that repeat an id and
 its text count as one document and get equal rows; rows of one id with
-different texts are ordered by a checksum of the text.  An empty table gives no rows.
+different texts are ordered by 128 bits of hash of the text.  An empty table gives no rows.
 A lost task is run again on the same rows in the same order when the documents
 come from files, as here; give documents that come out of a shuffle through a
 written table first.
@@ -109,21 +109,21 @@ def phrases(buf: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -
     return start, n, h[gram][a], digest
 
 
-PHRASE = ["copy", "anchor", "phrase", "doc", "h", "start", "n"]
+PHRASE = ["copy", "anchor", "phrase", "doc", "h", "g", "start", "n"]
 
 
 def settle(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """Of a task's phrases (anchor, phrase, doc, h, start, n): copies of an earlier one are marked and joined up."""
-    anchor, phrase, doc, h, start, n = cols
-    o = np.lexsort((start, h, doc, phrase, anchor))
-    anchor, phrase, doc, h, start, n = (x[o] for x in (anchor, phrase, doc, h, start, n))
+    """Of a task's phrases (anchor, phrase, doc, h, g, start, n): copies of an earlier one are marked and joined up."""
+    anchor, phrase, doc, h, g, start, n = cols
+    o = np.lexsort((start, g, h, doc, phrase, anchor))
+    anchor, phrase, doc, h, g, start, n = (x[o] for x in (anchor, phrase, doc, h, g, start, n))
     new = np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(phrase) != 0)))
     lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    copy = (doc != doc[lead]) | (h != h[lead]) | (start != start[lead])
+    copy = (doc != doc[lead]) | (h != h[lead]) | (g != g[lead]) | (start != start[lead])
     c = np.flatnonzero(copy)
-    c = c[np.lexsort((start[c], h[c], doc[c]))]
+    c = c[np.lexsort((start[c], g[c], h[c], doc[c]))]
     if len(c):  # copies side by side become one row
-        joint = (np.diff(doc[c]) == 0) & (np.diff(h[c]) == 0) & (start[c][1:] <= (start[c] + n[c])[:-1])
+        joint = (np.diff(doc[c]) == 0) & (np.diff(h[c]) == 0) & (np.diff(g[c]) == 0) & (start[c][1:] <= (start[c] + n[c])[:-1])
         head = np.flatnonzero(np.concatenate(([True], ~joint)))
         stop = np.maximum.reduceat(start[c] + n[c], head)
         c = c[head]
@@ -132,23 +132,23 @@ def settle(cols: list[np.ndarray]) -> list[np.ndarray]:
         anchor = anchor.copy()  # spreads them: they need meet no one
         anchor[c] = mix(doc[c].astype(np.uint64), start[c].astype(np.uint64)).view(np.int64)
     k = np.concatenate((np.flatnonzero(~copy), c))
-    return [copy[k], anchor[k], phrase[k], doc[k], h[k], start[k], n[k]]
+    return [copy[k], anchor[k], phrase[k], doc[k], h[k], g[k], start[k], n[k]]
 
 
 def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
-    """Phrases of (doc, h, text)."""
+    """Phrases of (doc, h, g, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
-        def add(parts: list[tuple[int, int, bytes, int]]) -> None:
-            # each part: doc, h, bytes, offset in the document; windows start in all but the last length - 1 bytes
-            sizes = np.array([len(p[2]) for p in parts], np.int64)
+        def add(parts: list[tuple[int, int, int, bytes, int]]) -> None:
+            # each part: doc, h, g, bytes, offset in the document; windows start in all but the last length - 1 bytes
+            sizes = np.array([len(p[3]) for p in parts], np.int64)
             first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            buf = np.frombuffer(b"".join([p[2] for p in parts]), np.uint8)
+            buf = np.frombuffer(b"".join([p[3] for p in parts]), np.uint8)
             start, n, anchor, phrase = phrases(buf, first, first + sizes - length + 1, length)
             own = np.searchsorted(first, start, side="right") - 1
-            doc, h, off = (np.array([p[i] for p in parts], np.int64)[own] for i in (0, 1, 3))
-            held.append([anchor.view(np.int64), phrase.view(np.int64), doc, h, start - first[own] + off, n])
+            doc, h, g, off = (np.array([p[i] for p in parts], np.int64)[own] for i in (0, 1, 2, 4))
+            held.append([anchor.view(np.int64), phrase.view(np.int64), doc, h, g, start - first[own] + off, n])
 
         def send() -> pa.RecordBatch:
             cols = settle([np.concatenate(x) for x in zip(*held)])
@@ -157,11 +157,11 @@ def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
 
         for b in batches:
             parts, size = [], 0
-            for doc, h, t in zip(*[b[c].to_pylist() for c in ("doc", "h", "text")]):
+            for doc, h, g, t in zip(*[b[c].to_pylist() for c in ("doc", "h", "g", "text")]):
                 raw = (t or "").encode("utf-8", "surrogatepass")
                 for at in range(0, max(0, len(raw) - length + 1), SLICE):
-                    parts.append((doc, h, raw[at:at + SLICE + length - 1], at))
-                    size += len(parts[-1][2])
+                    parts.append((doc, h, g, raw[at:at + SLICE + length - 1], at))
+                    size += len(parts[-1][3])
                     if size >= SLICE:
                         add(parts)
                         parts, size = [], 0
@@ -172,8 +172,8 @@ def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
         if held:
             yield send()
 
-    return docs.select("doc", "h", "text").mapInArrow(
-        run, "copy boolean, anchor long, phrase long, doc long, h long, start long, n long")
+    return docs.select("doc", "h", "g", "text").mapInArrow(
+        run, "copy boolean, anchor long, phrase long, doc long, h long, g long, start long, n long")
 
 
 def dense(key: np.ndarray) -> np.ndarray:
@@ -253,14 +253,14 @@ def repeated_windows(text: np.ndarray, left: np.ndarray, length: int) -> np.ndar
 
 
 def index_marks(cut: DataFrame, length: int) -> DataFrame:
-    """Marks (doc, h, start, stop) in phrases (anchor, doc, h, start, bytes), by one index for each few MB of whole anchors."""
+    """Marks (doc, h, g, start, stop) in phrases (anchor, doc, h, g, start, bytes), by one index for each few MB of whole anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(rows: list[tuple]) -> pa.RecordBatch:
-            rows = sorted({r[1:4]: r for r in rows}.values(), key=lambda r: r[1:4])  # rows that repeat bring a phrase twice
-            doc, h, start = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-            sizes = np.array([len(r[4]) + 1 for r in rows], np.int64)
+            rows = sorted({r[1:5]: r for r in rows}.values(), key=lambda r: r[1:5])  # rows that repeat bring a phrase twice
+            doc, h, g, start = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 4))
+            sizes = np.array([len(r[5]) + 1 for r in rows], np.int64)
             stop = np.cumsum(sizes)
-            text = np.frombuffer(bytes([END]).join([r[4] for r in rows]) + bytes([END]), np.uint8)
+            text = np.frombuffer(bytes([END]).join([r[5] for r in rows]) + bytes([END]), np.uint8)
             left = np.repeat(stop, sizes) - 1 - np.arange(len(text))
             at = repeated_windows(text, left, length)
             own = np.searchsorted(stop, at, side="right")
@@ -269,61 +269,62 @@ def index_marks(cut: DataFrame, length: int) -> DataFrame:
             z = np.append(a[1:], len(at)) - 1 if len(a) else a
             o = own[a]
             shift = start[o] - (stop - sizes)[o]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[o], h[o], at[a] + shift, at[z] + shift + length)],
-                                              ["doc", "h", "start", "stop"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[o], h[o], g[o], at[a] + shift, at[z] + shift + length)],
+                                              ["doc", "h", "g", "start", "stop"])
 
         rows: list[tuple] = []
         size, anchor = 0, None
         for b in batches:
-            for r in zip(*[b[c].to_pylist() for c in ("anchor", "doc", "h", "start", "bytes")]):
+            for r in zip(*[b[c].to_pylist() for c in ("anchor", "doc", "h", "g", "start", "bytes")]):
                 if r[0] != anchor and size >= INDEXED:
                     yield work(rows)
                     rows, size = [], 0
                 anchor = r[0]
                 rows.append(r)
-                size += len(r[4]) + 1
+                size += len(r[5]) + 1
         if rows:
             yield work(rows)
 
     dealt = cut.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("anchor", "doc", "h", "start", "bytes").mapInArrow(run, "doc long, h long, start long, stop long")
+    return dealt.select("anchor", "doc", "h", "g", "start", "bytes").mapInArrow(run, "doc long, h long, g long, start long, stop long")
 
 
 def crowded_marks(cut: DataFrame, length: int) -> DataFrame:
     """As ``index_marks``, for anchors with many phrases: every window by its digest."""
     windows = F.transform(F.sequence(F.lit(0), F.length("bytes") - length), lambda i: F.struct(
         F.md5(F.substring(F.col("bytes"), i + 1, F.lit(length))).alias("digest"), (F.col("start") + i).alias("at")))
-    rows = cut.select("doc", "h", F.explode(windows).alias("w")).select("w.digest", F.struct("doc", "h", "w.at").alias("p"))
+    rows = cut.select("doc", "h", "g", F.explode(windows).alias("w")).select("w.digest", F.struct("doc", "h", "g", "w.at").alias("p"))
     first = rows.groupBy("digest").agg(F.min("p").alias("first"), F.count("*").alias("n")).filter("n > 1")
     return rows.join(first.select("digest", "first"), "digest").filter("p != first").select(
-        "p.doc", "p.h", F.col("p.at").alias("start"), (F.col("p.at") + length).alias("stop"))
+        "p.doc", "p.h", "p.g", F.col("p.at").alias("start"), (F.col("p.at") + length).alias("stop"))
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
+    """A row's key: its id and 128 bits of hash of its text."""
     return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-                             "_h": F.crc32(C.whole_text(text).cast("binary"))})
+                             "_h": F.xxhash64(C.whole_text(text)), "_g": F.xxhash64(F.lit("second half"), C.whole_text(text))})
 
 
 def marks(docs: DataFrame, length: int = LENGTH, text: str = "text", many: int = MANY) -> DataFrame:
-    """(doc, h, start, stop): byte ranges to remove, which may overlap."""
+    """(doc, h, g, start, stop): byte ranges to remove, which may overlap."""
     rows = keyed(docs.select("doc_id", text), text).select(
-        F.col("_doc").alias("doc"), F.col("_h").alias("h"), F.col(text).alias("text"))
+        F.col("_doc").alias("doc"), F.col("_h").alias("h"), F.col("_g").alias("g"), F.col(text).alias("text"))
     near, same = Window.partitionBy("copy", "anchor"), Window.partitionBy("copy", "anchor", "phrase")
-    place = F.struct("doc", "h", "start")
+    place = F.struct("doc", "h", "g", "start")
     met = (cut_phrases(rows, length).repartition("copy", "anchor")
            .withColumn("first", F.min(place).over(same)).withColumn("copy", F.col("copy") | (place != F.col("first")))
            .withColumn("open", F.min("phrase").over(near) != F.max("phrase").over(near))
-           .filter("copy or open").select("copy", "anchor", "doc", "h", "start", "n"))
+           .filter("copy or open").select("copy", "anchor", "doc", "h", "g", "start", "n"))
     met = C.materialise(met, "phrases")
-    whole = met.filter("copy").select("doc", "h", "start", (F.col("start") + F.col("n") + length - 1).alias("stop"))
+    whole = met.filter("copy").select("doc", "h", "g", "start", (F.col("start") + F.col("n") + length - 1).alias("stop"))
     wanted = met.filter("not copy").distinct()
     counts = wanted.groupBy("anchor").count().filter(F.col("count") > many)
     crowd = C.materialise(counts.select("anchor", F.lit(True).alias("crowded")), "crowded")
-    asked = (wanted.join(crowd, "anchor", "left").groupBy("doc", "h")
+    asked = (wanted.join(crowd, "anchor", "left").groupBy("doc", "h", "g")
              .agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("asked")))
-    one = rows.withColumn("bytes", F.col("text").cast("binary")).join(asked, ["doc", "h"])
-    cut = (one.select("doc", "h", "bytes", F.explode("asked").alias("a"))
-           .select("a.anchor", "doc", "h", "a.start", "a.crowded",
+    one = rows.withColumn("bytes", F.col("text").cast("binary")).join(asked, ["doc", "h", "g"])
+    cut = (one.select("doc", "h", "g", "bytes", F.explode("asked").alias("a"))
+           .select("a.anchor", "doc", "h", "g", "a.start", "a.crowded",
                    F.substring("bytes", F.col("a.start").cast("int") + 1, F.col("a.n").cast("int") + length - 1).alias("bytes")))
     cut = C.materialise(cut, "cut")
     return whole.union(index_marks(cut.filter("crowded is null"), length)).union(
@@ -332,9 +333,9 @@ def marks(docs: DataFrame, length: int = LENGTH, text: str = "text", many: int =
 
 def with_marks(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """``docs`` with ``gone``: the byte ranges (start, stop) to remove, unordered; null if none."""
-    found = marks(docs, length, text).groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(
+    found = marks(docs, length, text).groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("g").alias("_g")).agg(
         F.collect_set(F.struct("start", "stop")).alias("gone"))
-    return keyed(docs, text).join(found, ["_doc", "_h"], "left").drop("_doc", "_h")
+    return keyed(docs, text).join(found, ["_doc", "_h", "_g"], "left").drop("_doc", "_h", "_g")
 
 
 def removed(raw: bytes, gone: list | None) -> tuple[bytes, int, int]:
