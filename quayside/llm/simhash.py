@@ -158,36 +158,31 @@ def _groups_by_fp(rows: DataFrame, nodes: DataFrame, radius: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One document of each group: that with the least id; its copies under the same id go too.
+    """One document of each group: that with the least id (rows without an id come last), of these the one
+    with the least digest of its text, of equal ones the least by all columns.
 
-    Documents without an id leave with a group that has one; a group of none but such keeps one of them.
+    Rows that share an id are documents of their own: unrelated ones all stay.
     """
-    found = groups(docs.select("doc_id", text), text)
-    firsts = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.filter("doc_id is null")
-    if nameless.limit(1).count():
-        named = named.unionByName(_nameless(nameless, found, text))
-    return named
-
-
-def _nameless(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
-    """Of the documents without an id in groups without any, one of each group: the least by text."""
-    alone = found.filter("component_id is null").select("fp").distinct()
-    roots = components(links(alone.select("fp", F.col("fp").alias("node"))))
-    placed = alone.join(roots, alone["fp"] == roots["u"], "left").select("fp", F.coalesce("v", "fp").alias("root"))
-    texts = docs.select(C.whole_text(text).alias("text")).distinct()
-    by_text = texts.mapInArrow(_text_fp, "text string, fp long").join(placed, "fp")
-    best = by_text.groupBy("root").agg(F.min("text").alias("best")).select(F.struct("best").alias("b"))
-    rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(best, C.whole_text(f"row.{text}") == F.col("b.best"), "left_semi")
-    return kept.select("row.*").dropDuplicates([text])
-
-
-def _text_fp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [b["text"], pa.array([fingerprint(t) for t in b["text"].to_pylist()], pa.int64())], ["text", "fp"])
+    digest = F.unhex(F.md5(C.whole_text(text).cast("binary")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = pa.array([fingerprint(t) for t in b["text"].to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b["id"], b["mark"], fp], ["id", "mark", "fp"])
+
+    given = docs.select(F.col("doc_id").cast("long").alias("id"), digest.alias("mark"), F.col(text).alias("text"))
+    rows = C.materialise(given.mapInArrow(run, "id long, mark binary, fp long"), "fingerprints")
+    roots = components(links(rows.select("fp", F.col("fp").alias("node")).distinct()))
+    placed = rows.join(roots, rows["fp"] == roots["u"], "left").select("id", "mark", F.coalesce("v", "fp").alias("root"))
+    counted = placed.groupBy("root", "id", "mark").agg(F.count("*").alias("n"))
+    firsts = C.materialise(counted.groupBy("root").agg(F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "mark", "n")).alias("first")).select("first.id", "first.mark", "first.n"), "firsts")
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("at"), digest.alias("is"))
+    same = F.col("at").eqNullSafe(F.col("id")) & (F.col("is") == F.col("mark"))
+    single = whole.join(firsts.filter("n = 1"), same, "left_semi").select("row.*")
+    several = whole.join(firsts.filter("n > 1"), same, "left_semi").groupBy("at", "is").agg(
+        F.min_by("row", F.to_json("row")).alias("row"))
+    return single.unionByName(several.select("row.*"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
