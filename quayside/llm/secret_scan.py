@@ -2,10 +2,10 @@ r"""Operator 1: secret scans over an incremental blob ledger.  DataFrame functio
 
 Every version of a file is addressed by the SHA-256 of its content.  A ledger
 (Parquet, in shared storage) has one row for each (blob, rule, rule version)
-that was scanned, with its findings.  A scan drops every path to its blob,
-keeps the blobs with pairs that the ledger lacks, scans one copy of each by
+that was scanned, with its findings.  A scan drops every path to its blob's address,
+keeps the addresses with pairs that the ledger lacks, fetches and scans one copy of each by
 the missing rules only, appends the new pairs in one write, and joins the
-ledger's findings back to all paths.  A rule's version is a digest of its
+ledger's findings back to all paths.  When nothing is new, no text is moved.  A rule's version is a digest of its
 pattern, so a changed rule is scanned again and the others are not.
 
 Null texts count as empty; an empty text is a blob like any other; rows that
@@ -33,6 +33,7 @@ RULES = {
     "pem": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
 }
 MIN_VALUE = 6
+FEW = 10_000  # addresses with the names of their rules (some 300 bytes each) that are sent to the texts
 LEDGER = "blob binary, rule string, version string, spans array<struct<start:int,end:int>>"
 
 
@@ -53,15 +54,25 @@ def open_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pending(blobs: DataFrame, ledger: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """Of ``blobs`` (blob, text), one copy of each that lacks a rule's version, with the rules it lacks."""
+    """Of ``blobs`` (blob, ...), the addresses that lack a rule's version, with the rules they lack; no text is read on."""
     wanted = F.array(*[F.lit(f"{k}:{version_of(p)}") for k, p in rules.items()])
     done = (ledger.withColumn("pair", F.concat_ws(":", "rule", "version"))
             .filter(F.array_contains(wanted, F.col("pair")))
             .groupBy("blob").agg(F.collect_set("pair").alias("done")))  # at most one entry a rule
-    one = blobs.groupBy("blob").agg(F.first("text").alias("text"))
-    return (one.join(done, "blob", "left")
+    return (blobs.select("blob").distinct().join(done, "blob", "left")
             .withColumn("todo", F.array_except(wanted, F.coalesce("done", F.expr("cast(array() as array<string>)"))))
-            .filter(F.size("todo") > 0).select("blob", "text", "todo"))
+            .filter(F.size("todo") > 0).select("blob", "todo"))
+
+
+def texts_of(blobs: DataFrame, todo: DataFrame) -> DataFrame:
+    """(blob, text, todo): one copy of each blob in ``todo``.
+
+    Few of them are sent to the texts, which stay where they are; many meet the texts where copies have been
+    put together, before the shuffle as far as they share a task.
+    """
+    if todo.limit(FEW + 1).count() <= FEW:
+        return blobs.join(F.broadcast(todo), "blob").groupBy("blob").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
+    return blobs.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
 
 
 def scan_blobs(todo: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -85,20 +96,24 @@ def update_ledger(docs: DataFrame, ledger_path: str, rules: dict[str, str] = RUL
     """Scan what the ledger lacks, append it, and return the whole ledger."""
     spark = docs.sparkSession
     blobs = docs.select(blob_of(text).alias("blob"), C.whole_text(text).alias("text"))
-    todo = pending(blobs, open_ledger(spark, ledger_path), rules)
-    scan_blobs(todo, rules).write.mode("append").parquet(ledger_path)
+    todo = C.materialise(pending(blobs, open_ledger(spark, ledger_path), rules), "pending")
+    if todo.limit(1).count():
+        scan_blobs(texts_of(blobs, todo), rules).write.mode("append").parquet(ledger_path)
     return open_ledger(spark, ledger_path)
 
 
 def findings(ledger: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """(blob, hits): all spans of the rules' present versions, by start, then rule as listed; blobs without are absent."""
+    """(blob, hits): all spans of the rules' present versions, by start, then rule as listed; blobs without are absent.
+
+    A pair that the ledger holds more than once, as after two scans at the same time, counts once.
+    """
     now = F.array(*[F.lit(f"{k}:{version_of(p)}") for k, p in rules.items()])
     order = F.create_map(*[x for i, k in enumerate(rules) for x in (F.lit(k), F.lit(i))])
     hits = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), order[F.col("rule")].alias("ord"), s["end"].alias("end"), F.col("rule").alias("kind")))
     return (ledger.filter(F.array_contains(now, F.concat_ws(":", "rule", "version")) & (F.size("spans") > 0))
             .select("blob", hits.alias("hits"))
-            .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")))  # one list a rule
+            .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("hits")))
 
 
 def scan(docs: DataFrame, ledger_path: str, rules: dict[str, str] = RULES, text: str = "text") -> DataFrame:
