@@ -25,17 +25,36 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(c(num), c(den))
 
 
-# 15 decimals hold every digit that a quantity has as a double.
 EXACT = "decimal(38,15)"
+_FINE, _COARSE = "decimal(38,32)", "decimal(38,2)"
+
+
+def exact_lanes(x: Column) -> list[Column]:
+    """A double as up to four parts that can be summed in any order, each without rounding.
+
+    Doubles count as the decimals that they print as (0.1 is a tenth).  Below 1e14 a value goes to a lane of 15
+    decimals, and what those don't hold of a value under 1e5 to one of 31; from 1e14 on to one of two decimals (no
+    such double has more), and from 1e27 on, with NaN and the infinities, to a lane of doubles.  A decimal lane
+    holds the sum of 10 ** 9 values at least; only sums of the last lane depend on the order of rows.
+    """
+    size = F.abs(x)
+    main = F.when(size < 1e14, x.try_cast(EXACT))
+    fine = F.when(size < 1e5, x.try_cast(_FINE) - main.try_cast(_FINE))
+    return [main, fine, F.when((size >= 1e14) & (size < 1e27), x.try_cast(_COARSE)), F.when(size >= 1e27, x)]
+
+
+def exact_total(sums: Sequence[Column]) -> Column:
+    """One double from the sums of ``exact_lanes``; NULL if no lane has a value."""
+    whole = sum((F.coalesce(c.cast("double"), F.lit(0.0)) for c in reversed(list(sums))), F.lit(0.0))
+    return F.when(F.coalesce(*[c.cast("double") for c in sums]).isNotNull(), whole)
 
 
 def exact_sum(x: Column, over=None) -> Column:
-    """The sum of doubles through decimals: the same whatever order rows arrive in.
+    """The sum of doubles by ``exact_lanes``: the same whatever order rows arrive in.
 
     Used where a threshold or a text depends on a sum.  ``over``: a window.
     """
-    total = F.sum(x.cast(EXACT))
-    return (total if over is None else total.over(over)).cast("double")
+    return exact_total([F.sum(c) if over is None else F.sum(c).over(over) for c in exact_lanes(x)])
 
 
 def strip_leading_zeros(x: ColumnOrName) -> Column:
