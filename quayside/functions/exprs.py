@@ -32,15 +32,14 @@ _FINE, _COARSE = "decimal(38,32)", "decimal(38,2)"
 def exact_lanes(x: Column) -> list[Column]:
     """A double as up to four parts that can be summed in any order, each without rounding.
 
-    Doubles count as the decimals that they print as (0.1 is a tenth).  Below 1e14 a value goes to a lane of 15
-    decimals, and what those don't hold of a value under 1e5 to one of 31; from 1e14 on to one of two decimals (no
-    such double has more), and from 1e27 on, with NaN and the infinities, to a lane of doubles.  A decimal lane
-    holds the sum of 10 ** 9 values at least; only sums of the last lane depend on the order of rows.
+    Doubles count as the decimals that they print as (0.1 is a tenth).  From 1e-9 up to 1e14 they count to 15
+    decimals: what 7.0 - 4.9 leaves beyond is noise.  Smaller ones go to a lane of 32 decimals, larger ones to one of
+    two (no such double has more), and those from 1e27 on, with NaN and the infinities, to a lane of doubles.
+    A decimal lane holds the sum of 10 ** 9 values at least; only sums of the last lane depend on the order of rows.
     """
     size = F.abs(x)
-    main = F.when(size < 1e14, x.try_cast(EXACT))
-    fine = F.when(size < 1e5, x.try_cast(_FINE) - main.try_cast(_FINE))
-    return [main, fine, F.when((size >= 1e14) & (size < 1e27), x.try_cast(_COARSE)), F.when(size >= 1e27, x)]
+    return [F.when((size >= 1e-9) & (size < 1e14), x.try_cast(EXACT)), F.when(size < 1e-9, x.try_cast(_FINE)),
+            F.when((size >= 1e14) & (size < 1e27), x.try_cast(_COARSE)), F.when(size >= 1e27, x)]
 
 
 def exact_total(sums: Sequence[Column]) -> Column:
