@@ -11,7 +11,9 @@ Texts never leave their partition: there is no shuffle, and each task keeps the
 words that it has met lately, in two generations, with their ids and what they decode to.
 
 Null texts count as empty and have no tokens; repeated rows get a row each.
-Special tokens that occur in a text are taken as such, as the library does.
+Special tokens that occur in a text are taken as such, as the library does.  Of merges of
+equal rank the leftmost is done first.  Very long texts are encoded whole, in the memory of their task.
+An empty table gives no rows; extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations

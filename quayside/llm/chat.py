@@ -14,7 +14,8 @@ for do its turns meet, in order, in one stream of bounded memory.
 
 Null roles and texts count as empty.  Turns are ordered by turn (null first), then
 role, then text, so ties have one order; repeated rows are repeated turns; rows
-without a conversation id are one conversation; extra columns are left alone.
+without a conversation id are one conversation; extra columns are left alone.  An empty
+table gives no rows.  A very long text is one turn in the memory of its task.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ host a document must pass the soft rules too, elsewhere the base rules decide.
 So a document that passes every rule is always kept.
 
 Null and empty texts have no words, so they fail the base rules.  Rows with a
-null host form one host.  Repeated rows and ties are judged one by one.
+null host form one host.  Repeated rows and ties are judged one by one.  Very long texts
+are judged whole, in the memory of their row.  An empty table gives no rows.  Extra columns
+go along in ``keep_good``, whatever their names, and are left out of the figures.
 """
 
 from __future__ import annotations

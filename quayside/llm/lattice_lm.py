@@ -20,7 +20,8 @@ A row is known by its id and 128 bits of its text's digest.
 
 Null texts count as empty: one end.  A null id counts as the empty string when
 texts are split into training and held out.  Rows that repeat give a row each,
-with the same scores.  An empty table gives no rows.
+with the same scores.  An empty table gives no rows.  Very long texts, and words of any length, are scored
+whole.  Extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ the bucket where the budget ends, and only its documents are put in order.
 
 Null texts count as empty.  Documents without words cost nothing: they come once.
 A null source is a source.  Repeated rows are documents of their own; ties in
-the order are broken by id.  An empty table gives an empty mix.
+the order are broken by id.  An empty table gives an empty mix.  Very long texts are
+words to be counted like any other, row by row.  Extra columns go along, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ run of their characters starts (or where the last match ended), which leaves
 the leftmost matches as they are and keeps long runs linear.
 
 Null texts count as empty; an empty text has no spans; repeated rows and ties
-each give their own row; other columns are left alone.
+each give their own row; other columns are left alone.  An empty table gives no rows.
+Very long texts are searched whole; their spans are placed block by block.
 """
 
 from __future__ import annotations

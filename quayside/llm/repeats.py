@@ -27,6 +27,8 @@ anchors by MD5; the index compares bytes.
 Null texts count as empty.  A null id is before all others.  Rows that repeat an id and
 its text count as one document and get equal rows; rows of one id with
 different texts are ordered by 128 bits of hash of the text.  An empty table gives no rows.
+Of equal passages the one in the smaller id, or earlier in its text, stays.  Extra columns are left out,
+whatever their names.
 A lost task is run again on the same rows in the same order when the documents
 come from files, as here; give documents that come out of a shuffle through a
 written table first.

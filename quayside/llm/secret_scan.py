@@ -10,7 +10,9 @@ pattern, so a changed rule is scanned again and the others are not.
 
 Null texts count as empty; an empty text is a blob like any other; rows that
 repeat share one blob and each gets its findings; other columns pass through
-untouched, whatever their names.
+untouched, whatever their names.  Spans that start together are ordered by their rules as
+listed.  Very long texts are scanned whole, in the memory of their row.  An empty table
+leaves the ledger as it is and gives no rows.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ each of 7 tables for radius 2, up to 529 in each of 15 for radius 3.
 
 Null and empty texts have fingerprint zero and link like any other.  Rows that
 repeat an id get a row each.  Rows without an id have the least id of their
-component too, and null if it has none.
+component too, and null if it has none.  A bit set in exactly half the hashes is 0.  Very long
+texts are hashed piece by piece.  Extra columns are left out of ``groups`` and go along in
+``keep_first``, whatever their names.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -25,6 +25,7 @@ non-finite component take no part.  Vectors of different lengths don't meet;
 empty ones score 0 with each other.
 A repeated candidate row is a candidate each time; a query id that repeats asks
 once, with its least vector.  Rows with the query's own id are never its results.
+Extra columns are left out, whatever their names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
