@@ -3,6 +3,10 @@
 Stages but the last return the columns of ``documents``.  The first two leave
 documents out, the third rewrites texts, the fourth repeats documents of
 sources that are to weigh more, and the last encodes what there is.
+
+All stages take null texts as empty, and rows with nulls in any column; repeated rows are rows of their
+own, but near-dedup keeps one of a group.  Texts of any length are whole in the memory of their row or task.  Extra columns go
+along through the first four stages, whatever their names.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,7 +22,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates: that with the least id, ties by digest of the text, then all columns.
+
+    Shingle length and bit distance are those of the operator's contract (3 words, 2 bits).
+    """
     return simhash.keep_first(docs)
 
 
