@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice, repeat
 from zlib import crc32
 
 import numpy as np
@@ -40,8 +41,9 @@ from . import common as C
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS, PRIOR, ZIPF = 1, 1000.0, 2.7
 FOLDS, HELD = 7, 2
-SHARDS, SHARD_WORDS, SPLIT_TOKENS = 64, 1 << 18, 1 << 22
+SHARDS, SHARD_WORDS, SPLIT_TOKENS = 16, 1 << 18, 1 << 22
 COUNTED = 400_000  # distinct words that a task counts before it sends them on
+PACKED = 200_000  # distinct words of documents that a task packs at a time
 CELLS = 1 << 21  # lattice cells computed at a time
 BASE = np.uint64(0x9E3779B97F4A7C15)
 END = b""  # the end of a text: no word is empty
@@ -217,31 +219,45 @@ def _packed(docs: DataFrame, shards: int, splits: int, text: str) -> DataFrame:
 
     ``shard`` numbers the splits of all shards.
     """
+    def send(ids: list, digests: list[bytes], sizes: list[int], flat: list[bytes], n: list[int], tokens: list[int]) -> pa.RecordBatch:
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        shard = np.fromiter(map(crc32, flat), np.int64, len(flat)) % shards
+        last = np.zeros(len(flat), bool)
+        last[np.cumsum(sizes) - 1] = True  # a document's last entry is its end
+        shard[last] = [crc32(h) % shards for h in digests]
+        order = np.argsort(doc * shards + shard, kind="stable")
+        key = (doc * shards + shard)[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        cuts = [*starts.tolist(), len(flat)]
+        spelt = [flat[i] for i in order.tolist()]
+        owner = key[starts] // shards
+        split = np.array([crc32(h, 1) % splits for h in digests])
+        return pa.RecordBatch.from_arrays([
+            pa.array(key[starts] % shards * splits + split[owner], pa.int32()),
+            pa.array(ids, pa.int64()).take(pa.array(owner)), pa.array(digests, pa.binary()).take(pa.array(owner)),
+            pa.array([b" ".join(spelt[i:j]) for i, j in zip(cuts, cuts[1:])], pa.binary()),
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.array(n, np.int32)[order])),
+            pa.array(np.array(tokens, np.int64)[owner], mask=~np.logical_or.reduceat(last[order], starts))],
+            ["shard", "doc_id", "h", "words", "n", "tokens"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.int64())
-        names = ["shard", "doc_id", "h", "words", "n", "tokens"]
-        rows: list[tuple] = []
+        held: tuple[list, ...] = ([], [], [], [], [], [])
         for b in batches:
             for doc, h, t in zip(*[b[c].to_pylist() for c in ("doc_id", "h", "text")]):
                 found = Counter(words(t))
-                mine, at = crc32(h) % shards, crc32(h, 1) % splits
-                parts: dict[int, tuple[list, list]] = {mine: ([END], [1])}
-                for w, k in found.items():
-                    s = crc32(w) % shards
-                    if s in parts:
-                        parts[s][0].append(w)
-                        parts[s][1].append(k)
-                    else:
-                        parts[s] = ([w], [k])
-                tokens = found.total() + 1
-                for s, (ws, ks) in parts.items():
-                    rows.append((s * splits + at, doc, h, b" ".join(ws), ks, tokens))
-                    tokens = None
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
-                    rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+                found[END] = 1
+                ids, digests, sizes, flat, n, tokens = held
+                ids.append(doc)
+                digests.append(h)
+                sizes.append(len(found))
+                flat.extend(found)
+                n.extend(found.values())
+                tokens.append(found.total())
+                if len(flat) > PACKED:
+                    yield send(*held)
+                    held = ([], [], [], [], [], [])
+        if held[0]:
+            yield send(*held)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.unhex(F.md5(C.whole_text(text).cast("binary"))).alias("h"), F.col(text).alias("text")).mapInArrow(
@@ -252,44 +268,38 @@ def _shard_sums(pieces: Pieces, logp: np.ndarray, end: float) -> Callable:
     """A task's work: a shard's counts come first, then the documents' words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, place = None, {}
-        count: list[int] = []
-        base, lattice = np.zeros(0), np.zeros(0)
+        base, lattice, known = np.zeros(0), np.zeros(0), np.zeros(0)
         for b in batches:
-            shards = np.array(b["shard"].to_pylist())
-            kinds = b["kind"].to_pylist()
-            cuts = [0, *(np.flatnonzero(np.diff(shards * 2 + np.array(kinds))) + 1).tolist(), len(shards)]
+            shards = b["shard"].to_numpy().astype(np.int64)
+            kinds = b["kind"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shards * 2 + kinds)) + 1).tolist(), len(shards)]
             for i, j in zip(cuts, cuts[1:]):
                 if shards[i] != shard:
-                    shard, place, count = shards[i], {}, []
-                    base, lattice = np.zeros(0), np.zeros(0)
+                    shard, place = shards[i], {}
+                    base, lattice, known = np.zeros(0), np.zeros(0), np.zeros(0)
                 part = b.slice(i, j - i)
                 spelt = part["words"].to_pylist()
                 if kinds[i] == 0:
                     place.update(zip(spelt, range(len(place), len(place) + len(spelt))))
-                    count += part["tokens"].to_pylist()
+                    count = part["tokens"].to_numpy()
+                    base = np.append(base, np.log10(count + 1.0))
+                    known = np.append(known, count > 0)
                     continue
-                each = [w.split(b" ") for w in spelt]
-                flat = [w for ws in each for w in ws]
-                for w in flat:
-                    if w not in place:
-                        place[w] = len(place)
-                        count.append(0)
-                if len(base) < len(place):
+                flat = b" ".join(spelt).split(b" ")
+                ids = np.fromiter(map(place.get, flat, repeat(-1)), np.int64, len(flat))
+                for k in np.flatnonzero(ids < 0).tolist():  # words that training has not seen
+                    ids[k] = place.setdefault(flat[k], len(place))
+                if len(lattice) < len(place):
                     old = len(lattice)
-                    fresh = [w for w, _ in zip(reversed(place), range(len(place) - old))][::-1]
-                    grown = np.zeros(len(place))
-                    grown[:old] = lattice
+                    fresh = [*islice(reversed(place), len(place) - old)][::-1]
+                    lattice = np.append(lattice, np.zeros(len(fresh)))
                     for at, x in by_length(fresh):
-                        if x.shape[1] == 1:
-                            grown[old + at] = end
-                        else:
-                            grown[old + at] = forward(pieces.edges(x), logp)[-1]
-                    lattice = grown
-                    base = np.log10(np.array(count, np.float64) + 1)
-                    known = np.array(count) > 0
-                ids = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
-                tf = np.array([k for ks in part["n"].to_pylist() for k in ks], np.float64)
-                starts = np.cumsum([0, *map(len, each)])[:-1]
+                        lattice[old + at] = end if x.shape[1] == 1 else forward(pieces.edges(x), logp)[-1]
+                    more = np.zeros(len(place) - len(base))  # their counts are 0
+                    base, known = np.append(base, more), np.append(known, more)
+                tf = part["n"].flatten().to_numpy().astype(np.float64)
+                sizes = part["n"].value_lengths().to_numpy()
+                starts = np.cumsum(sizes) - sizes
                 sums = [np.add.reduceat(v, starts) for v in (base[ids] * tf, lattice[ids] * tf, known[ids] * tf)]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["h"], pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2].astype(np.int64)), part["tokens"]],
