@@ -9,15 +9,21 @@ triangle inequality bounds every inner product q.x:
     q.x = q.p + q.(x - p)                           so   q.x <= q.p + |q| * hi
     q.x <= |q| * m
 
-A query first searches its own annulus, which gives it a k-th best score, and
-then the annuli whose bound reaches that score.  Inside an annulus vectors lie in
-order of distance in blocks with their own bounds; blocks are visited from the
+The origin is a second pivot: |x| and |x - p| fix how far x - p goes along the line through the origin and p, and how far
+it is off that line, so with a the part of q along the line
+
+    q.x = q.p + a * along + (rest of q).(rest of x - p)   so   q.x <= q.p + max(a * along) + |rest of q| * off
+
+A query first searches its own pivot's vectors, which gives it a k-th best score, and then the pivots of which some
+annulus has a bound that reaches that score: one request, with one copy of its vector, a pivot.  A pivot's vectors
+lie in order of distance in blocks with their own bounds; blocks are visited from the
 best bound down, and the search stops where no bound reaches the k-th best.
 
 Pivots are fitted on a bounded sample (``SAMPLE`` rows with the least hash of
-their id), and annulus borders on quantiles of it; every row is indexed.  The
-statistics sent to tasks have ``PIVOTS * RINGS`` rows at most for each vector
-length.  Annuli with many rows are split by a hash of the id, so a task holds at
+their id), and annulus borders on quantiles of it; every row is indexed.  There is a pivot for each ``PIVOTS`` times the
+square root of the rows, from ``PIVOTS`` to ``MOST_PIVOTS`` of them, so the
+statistics sent to tasks have ``MOST_PIVOTS * RINGS`` rows at most for each vector
+length.  Pivots with many rows are split by a hash of the id, so a task holds at
 most about ``PART_ROWS`` vectors; queries are streamed past them.
 
 Components become floor(256 * x) first.  Vectors that are null or hold a null or
@@ -31,6 +37,7 @@ Extra columns are left out, whatever their names.  An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +47,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 K, EVERY, SCALE = 5, 50, 256
-PIVOTS, RINGS, SAMPLE, PART_ROWS, BLOCK_ROWS = 16, 8, 4096, 65536, 1024
+PIVOTS, MOST_PIVOTS, RINGS, SAMPLE, PART_ROWS, BLOCK_ROWS = 16, 256, 8, 4096, 65536, 512
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -55,13 +62,14 @@ def whole_numbers(rows: DataFrame, vector: str = "embedding", scale: int = SCALE
 
 def fit(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each vector length: pivots, and each pivot's inner annulus borders, from a bounded sample."""
+    most = min(MOST_PIVOTS, max(PIVOTS, isqrt(rows.count()) // PIVOTS))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).collect()
     found = {}
     for dim in {r["dim"] for r in sample}:
         v = [r["v"] for r in sample if r["dim"] == dim]
         x = np.unique(np.array(v, np.float64).reshape(len(v), dim), axis=0)
         chosen, far = [0], np.linalg.norm(x - x[0], axis=1)
-        while len(chosen) < min(PIVOTS, len(x)):  # the farthest from those chosen
+        while len(chosen) < min(most, len(x)):  # the farthest from those chosen
             chosen.append(int(far.argmax()))
             far = np.minimum(far, np.linalg.norm(x - x[chosen[-1]], axis=1))
         p = x[chosen]
@@ -84,25 +92,44 @@ def place(rows: DataFrame, model: dict) -> DataFrame:
     """``rows`` with nearest pivot, distance from it, annulus and norm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, dims, vs = b["vec_id"].to_pylist(), np.array(b["dim"].to_pylist(), np.int64), b["v"].to_pylist()
-            pivot, ring = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
-            dist, norm = np.zeros(len(ids)), np.zeros(len(ids))
+            dims, pivot, ring = b["dim"].to_numpy(), np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows, np.int32)
+            dist, norm, low, high, off = np.zeros((5, b.num_rows))
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                x = np.array([vs[i] for i in at], np.float64).reshape(len(at), dim)
+                x = matrix(b["v"], at, dim).astype(np.float64)
                 norm[at] = np.linalg.norm(x, axis=1)
                 if dim in model:  # a length that the sample lacks has one annulus of all its vectors
                     p, cuts = model[dim]
                     d = distances(x, p)
                     pivot[at], dist[at] = d.argmin(1), d.min(1)
                     ring[at] = (dist[at][:, None] > cuts[pivot[at]]).sum(1)
+                    far = np.linalg.norm(p, axis=1)[pivot[at]]
                 else:
-                    dist[at] = norm[at]
+                    dist[at], far = norm[at], np.zeros(len(at))
+                low[at], high[at], off[at] = line(dist[at], norm[at], far)
             yield pa.RecordBatch.from_arrays(
-                [b["vec_id"], b["dim"], b["v"], *map(pa.array, (pivot, ring, dist, norm))],
-                ["vec_id", "dim", "v", "pivot", "ring", "dist", "norm"])
+                [b["vec_id"], b["dim"], b["v"], *map(pa.array, (pivot, ring, dist, norm, low, high, off))],
+                ["vec_id", "dim", "v", "pivot", "ring", "dist", "norm", "low", "high", "off"])
+
+    return rows.mapInArrow(run, "vec_id long, dim int, v array<long>, pivot int, ring int, dist double, norm double, "
+                                "low double, high double, off double")
+
+
+def matrix(v: pa.ListArray, at: np.ndarray, dim: int) -> np.ndarray:
+    """The vectors at places ``at``, all of length ``dim``, as rows."""
+    sizes = v.value_lengths().to_numpy()
+    return v.flatten().to_numpy()[(np.cumsum(sizes) - sizes)[at][:, None] + np.arange(dim)]
+
+
+def line(dist: np.ndarray, norm: np.ndarray, far: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How far x - p goes along the line through the origin and p (least, greatest), and off it (at most).
 
-    return rows.mapInArrow(run, "vec_id long, dim int, v array<long>, pivot int, ring int, dist double, norm double")
+    From |x - p|, |x| and |p|; where p is so near the origin that rounding would tell, only |x - p| is used.
+    """
+    sure = far > 1e-3 * norm
+    along = np.clip((norm ** 2 - far ** 2 - dist ** 2) / np.where(sure, 2 * far, 1), -dist, dist)
+    off = np.sqrt(np.maximum(dist ** 2 - along ** 2, 0) + 1e-12 * norm ** 2)  # raised by more than rounding takes
+    return np.where(sure, along, -dist), np.where(sure, along, dist), np.where(sure, off, dist)
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -127,21 +154,25 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q @ x.T
 
 
-def bounds(q: np.ndarray, qp: np.ndarray, qd: np.ndarray, lo, hi, m) -> np.ndarray:
-    """Upper bounds of q.x for (queries, annuli); qp: q.p, qd: |q - p| for each annulus' pivot.  Slightly raised."""
+def bounds(q: np.ndarray, p: np.ndarray, lo, hi, m, low, high, off) -> np.ndarray:
+    """Upper bounds of q.x for (queries, annuli); p has each annulus' pivot, or one for all.  Slightly raised."""
     qn = np.linalg.norm(q, axis=1)[:, None]
+    qp, qd, far = q @ p.T, distances(q, p), np.linalg.norm(p, axis=1)
     gap = np.maximum(np.maximum(qd - hi, lo - qd), 0)
+    a = qp / np.where(far > 0, far, 1)
+    rest = np.sqrt(np.maximum(qn * qn - a * a, 0) + 1e-12 * qn * qn)
     b = np.minimum(np.minimum((qn * qn + m * m - gap * gap) / 2, qp + qn * hi), qn * m)
-    return b + 1e-6 * (np.abs(b) + qn * m) + 1
+    b = np.minimum(b, qp + np.maximum(a * low, a * high) + rest * off)
+    return b + 4e-6 * (np.abs(b) + qn * m) + 1
 
 
 def search(ids: np.ndarray, x: np.ndarray, dist: np.ndarray, norm: np.ndarray, pivot: np.ndarray,
            qids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """The k best of the annulus part (ids, x, ...), in order of distance, for each query, leaving out scores under ``kth``."""
-    starts = range(0, len(ids), BLOCK_ROWS)
-    lo, hi, m = (np.array([f(a[i:i + BLOCK_ROWS]) for i in starts]) for f, a in ((np.min, dist), (np.max, dist), (np.max, norm)))
-    qp, qd = (q @ pivot)[:, None], distances(q.astype(np.float64), pivot[None])
-    reach = bounds(q.astype(np.float64), qp, qd, lo, hi, m)
+    """The k best of the pivot's part (ids, x, ...), in order of distance, for each query, leaving out scores under ``kth``."""
+    starts = np.arange(0, len(ids), BLOCK_ROWS)
+    low, high, off = line(dist, norm, np.linalg.norm(pivot))
+    reach = bounds(q.astype(np.float64), pivot[None], *(f.reduceat(a, starts) for f, a in (
+        (np.minimum, dist), (np.maximum, dist), (np.maximum, norm), (np.minimum, low), (np.maximum, high), (np.maximum, off))))
     top_s, top_i = np.full((len(q), k), NONE), np.full((len(q), k), np.iinfo(np.int64).max)
     kth = kth.copy()
     for j in np.argsort(-reach.max(0), kind="stable"):
@@ -154,6 +185,10 @@ def search(ids: np.ndarray, x: np.ndarray, dist: np.ndarray, norm: np.ndarray, p
         bid = ids[i:i + BLOCK_ROWS]
         s = products(q[live], x[i:i + BLOCK_ROWS])
         s[bid[None] == qids[live][:, None]] = NONE
+        new = np.flatnonzero((s >= kth[live][:, None]).any(1))  # the others keep what they have
+        if not len(new):
+            continue
+        live, s = live[new], s[new]
         cols = best_of(s, bid, k)
         s2 = np.concatenate([top_s[live], np.take_along_axis(s, cols, 1)], 1)
         i2 = np.concatenate([top_i[live], bid[cols]], 1)
@@ -164,13 +199,13 @@ def search(ids: np.ndarray, x: np.ndarray, dist: np.ndarray, norm: np.ndarray, p
             for a, b in zip(ss, ii) if a != NONE and a >= t]
 
 
-KEY = ["dim", "pivot", "ring", "part"]
+KEY = ["dim", "pivot", "part"]
 
 
 def probe(index: DataFrame, asked: DataFrame, model: dict, k: int) -> DataFrame:
-    """(query_id, vec_id, score): for each request (KEY, query_id, v, kth) the best of that annulus part.
+    """(query_id, vec_id, score): for each request (KEY, query_id, v, kth) the best of that pivot's part.
 
-    Both sides are dealt by annulus part; the part's rows sort before its requests, which stream past them.
+    Both sides are dealt by pivot and part; the part's rows sort before its requests, which stream past them.
     """
     side = index.select(*KEY, F.lit(0).alias("kind"), "vec_id", "v", "dist", "norm", F.lit(0).cast("long").alias("kth"))
     ask = asked.select(*KEY, F.lit(1).alias("kind"), F.col("query_id").alias("vec_id"), "v", F.lit(0.0).alias("dist"),
@@ -180,24 +215,24 @@ def probe(index: DataFrame, asked: DataFrame, model: dict, k: int) -> DataFrame:
         key, held = None, None
         rows: list[tuple] = []
         for b in batches:
-            c = {n: b[n].to_pylist() for n in b.schema.names}
-            n, i, out = b.num_rows, 0, []
-            while i < n:
-                here = tuple(c[x][i] for x in KEY)
-                kind, j = c["kind"][i], i
-                while j < n and c["kind"][j] == kind and all(c[x][j] == y for x, y in zip(KEY, here)):
-                    j += 1
+            if not b.num_rows:
+                continue
+            at = np.array([b[c].to_numpy() for c in [*KEY, "kind"]])
+            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
+            out: list[tuple] = []
+            for i, j in zip(cuts, cuts[1:]):
+                here, kind = tuple(at[:-1, i].tolist()), at[-1, i]
                 if here != key:
                     key, held, rows = here, None, []
-                v = np.array(c["v"][i:j], np.int64).reshape(j - i, here[0])
+                part = b.slice(i, j - i)
+                ids, v = part["vec_id"].to_numpy(), matrix(part["v"], np.arange(j - i), here[0])
                 if kind == 0:
-                    rows.append((np.array(c["vec_id"][i:j], np.int64), v, np.array(c["dist"][i:j]), np.array(c["norm"][i:j])))
+                    rows.append((ids, v, part["dist"].to_numpy(), part["norm"].to_numpy()))
                 elif rows or held:
                     if held is None:
                         held, rows = [np.concatenate(x) for x in zip(*rows)], []
                     p = model[here[0]][0][here[1]] if here[0] in model else np.zeros(here[0])
-                    out += search(*held, p, np.array(c["vec_id"][i:j], np.int64), v, np.array(c["kth"][i:j], np.int64), k)
-                i = j
+                    out += search(*held, p, ids, v, part["kth"].to_numpy(), k)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["query_id", "vec_id", "score"])
 
@@ -211,43 +246,45 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     index = C.materialise(place(rows, model), "index")
     stats = index.groupBy("dim", "pivot", "ring").agg(
         F.min("dist").alias("lo"), F.max("dist").alias("hi"), F.max("norm").alias("m"),
-        F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("off").alias("off"), F.count("*").alias("n"))
     stats = C.materialise(stats, "annuli")
-    index = index.join(stats.select("dim", "pivot", "ring", "parts"), ["dim", "pivot", "ring"]).withColumn(
+    split = stats.groupBy("dim", "pivot").agg(F.ceil(F.sum("n") / PART_ROWS).cast("int").alias("parts"))
+    index = index.join(split, ["dim", "pivot"]).withColumn(
         "part", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int"))
     asked = place(queries.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v"), model)
-    asked = C.materialise(asked.withColumnRenamed("vec_id", "query_id").drop("dist", "norm"), "queries")
-    home = asked.join(stats.select("dim", "pivot", "ring", "parts"), ["dim", "pivot", "ring"]).select(
+    asked = C.materialise(asked.withColumnRenamed("vec_id", "query_id").select("query_id", "dim", "v", "pivot"), "queries")
+    home = asked.join(split, ["dim", "pivot"]).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(NONE).alias("kth"))
     first = C.materialise(probe(index, home, model, k), "own")
     mine = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = (first.withColumn("rank", F.row_number().over(mine)).filter(F.col("rank") == k)
            .select("query_id", F.col("score").alias("kth")))
     annuli: dict[int, list] = {}
-    for r in stats.collect():  # PIVOTS * RINGS rows a vector length, however many vectors
+    for r in stats.collect():  # MOST_PIVOTS * RINGS rows a vector length, however many vectors
         annuli.setdefault(r["dim"], []).append(r)
-    boxes = {d: tuple(np.array([r[c] for r in rs]) for c in ("pivot", "ring", "parts", "lo", "hi", "m")) for d, rs in annuli.items()}
+    boxes = {d: tuple(np.array([r[c] for r in rs]) for c in ("pivot", "lo", "hi", "m", "low", "high", "off")) for d, rs in annuli.items()}
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for qid, dim, v, own, ring0, t in zip(*[b[c].to_pylist() for c in ("query_id", "dim", "v", "pivot", "ring", "kth")]):
+            dims, own, kth = (b[c].to_numpy() for c in ("dim", "pivot", "kth"))
+            for dim in np.unique(dims):
                 if dim not in boxes:
                     continue
-                pivot, ring, parts, lo, hi, m = boxes[dim]
-                q = np.array([v], np.float64).reshape(1, dim)
+                at = np.flatnonzero(dims == dim)
+                pivot, *box = boxes[dim]
+                q = matrix(b["v"], at, dim).astype(np.float64)
                 p = model[dim][0][pivot] if dim in model else np.zeros((len(pivot), dim))
-                far = bounds(q, q @ p.T, distances(q, p), lo, hi, m)[0]
-                for j in np.flatnonzero((far >= t) & ~((pivot == own) & (ring == ring0))):
-                    out += [(dim, int(pivot[j]), int(ring[j]), s, qid, v, t) for s in range(parts[j])]
-            if out:
-                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)],
-                                                 [*KEY, "query_id", "v", "kth"])
+                row, box_at = np.nonzero((bounds(q, p, *box) >= kth[at][:, None]) & (pivot != own[at][:, None]))
+                row, to = np.unique(np.stack([row, pivot[box_at]]), axis=1)  # one request a pivot
+                take = pa.array(at[row])
+                yield pa.RecordBatch.from_arrays(
+                    [b["dim"].take(take), pa.array(to, pa.int32()), b["query_id"].take(take), b["v"].take(take), b["kth"].take(take)],
+                    ["dim", "pivot", "query_id", "v", "kth"])
 
     rest = asked.join(kth, "query_id", "left").withColumn("kth", F.coalesce("kth", F.lit(NONE)))
-    rest = rest.select("query_id", "dim", "v", "pivot", "ring", "kth").mapInArrow(
-        reach, "dim int, pivot int, ring int, part int, query_id long, v array<long>, kth long")
+    rest = rest.select("query_id", "dim", "v", "pivot", "kth").mapInArrow(
+        reach, "dim int, pivot int, query_id long, v array<long>, kth long")
+    rest = rest.join(split, ["dim", "pivot"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     found = first.union(probe(index, rest, model, k))
     return found.withColumn("rank", F.row_number().over(mine)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -316,6 +316,47 @@ def test_top_k_parts_lengths_and_repeats(spark, monkeypatch):
         {(q, v): 2 for q, r, v, _ in got if r <= 2})
 
 
+@pytest.mark.parametrize("far", [0.0, 1e-9, 1.0, 300.0, 1e6])
+def test_top_k_bounds_hold(far):
+    rng = np.random.default_rng(3)
+    x, q = rng.integers(-256, 256, (400, 12)), rng.integers(-256, 256, (30, 12)).astype(float)
+    x[:50] = x[0]  # all on one point
+    p = rng.normal(size=(1, 12))
+    p *= far / np.linalg.norm(p)
+    dist, norm = topk.distances(x.astype(float), p)[:, 0], np.linalg.norm(x, axis=1)
+    low, high, off = topk.line(dist, norm, np.linalg.norm(p))
+    each = topk.bounds(q, p, dist, dist, norm, low, high, off)
+    assert (each >= q @ x.T).all()
+    whole = topk.bounds(q, p, dist.min(), dist.max(), norm.max(), low.min(), high.max(), off.max())
+    assert (whole >= (q @ x.T).max(1, keepdims=True)).all()
+
+
+def test_top_k_leaves_out_far_clusters(spark, monkeypatch):
+    """On clustered vectors most pairs are not scored, and the result is that of scoring all."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(16, 24))
+    x = np.floor(256 * (centres[rng.integers(0, 16, 4000)] + 0.05 * rng.normal(size=(4000, 24)))).astype(np.int64)
+    df = spark.createDataFrame([(i, 24, v.tolist()) for i, v in enumerate(x)], "vec_id long, dim int, v array<long>")
+    model = topk.fit(df)
+    rows = topk.place(df, model).orderBy("pivot", "dist", "vec_id").collect()
+    scored = []
+    plain = topk.products
+    monkeypatch.setattr(topk, "products", lambda q, part: scored.append(len(q) * len(part)) or plain(q, part))
+    ids, v, pivot, dist, norm = (np.array([r[c] for r in rows]) for c in ("vec_id", "v", "pivot", "dist", "norm"))
+    asked = np.flatnonzero(ids % 50 == 0)
+    found, kth = {int(i): [] for i in ids[asked]}, np.full(len(asked), topk.NONE)
+    for own in (True, False):
+        for p in np.unique(pivot):
+            at, mine = pivot == p, np.flatnonzero((pivot[asked] == p) == own)
+            for qid, i, score in topk.search(ids[at], v[at], dist[at], norm[at], model[24][0][p], ids[asked][mine], v[asked][mine], kth[mine], 5):
+                found[qid].append((-score, i))
+        if own:
+            kth = np.array([-sorted(found[int(i)])[4][0] if len(found[int(i)]) > 4 else topk.NONE for i in ids[asked]])
+    for i, q in zip(ids[asked], v[asked]):
+        assert sorted(found[int(i)])[:5] == sorted((-int(s), int(j)) for j, s in zip(ids, v @ q) if j != i)[:5]
+    assert sum(scored) < 0.3 * len(asked) * len(ids)
+
+
 def test_top_k_of_empty_vectors(spark):
     def found(rows):
         rows = topk.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
