@@ -84,9 +84,11 @@ def format_turns(turns: DataFrame, path: str | None = None) -> DataFrame:
         enc = encoder(path)
         for b in batches:
             made = [assemble(enc, r or "", t or "") for r, t in zip(b["role"].to_pylist(), b["text"].to_pylist())]
+            cuts = pa.array(np.cumsum([0, *(len(ids) for ids, _ in made)]), pa.int32())
+            ids, mask = (np.concatenate([np.zeros(0, kind), *x]) for kind, x in zip((np.int32, np.int8), [*zip(*made)] or [(), ()]))
             yield pa.RecordBatch.from_arrays(
-                [b["conv_id"], b["turn"], pa.array([m[0] for m in made], pa.list_(pa.int32())),
-                 pa.array([m[1] for m in made], pa.list_(pa.int8()))], ["conv_id", "turn", "ids", "mask"])
+                [b["conv_id"], b["turn"], *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (ids, mask))],
+                ["conv_id", "turn", "ids", "mask"])
 
     return turns.select("conv_id", "turn", "role", "text").mapInArrow(
         run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, ids array<int>, mask array<tinyint>")
@@ -110,8 +112,9 @@ def read_back(tokens: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            made = [read_turn(enc, np.array(i, np.int32), np.array(m, np.int8))
-                    for i, m in zip(b["ids"].to_pylist(), b["mask"].to_pylist())]
+            ids, mask = (b[c].flatten().to_numpy() for c in ("ids", "mask"))
+            cuts = np.cumsum([0, *b["ids"].value_lengths().to_pylist()])
+            made = [read_turn(enc, ids[i:j], mask[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
             cols = [*zip(*made)] or [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [b["conv_id"], b["turn"], *map(pa.array, cols, (pa.string(), pa.string(), pa.string(), pa.int64()))],
