@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quayside.operators import discontinued_alert, keyed_by_order, may_ask_quota, merge_decisions
 from quayside.plans import binding as b
 from quayside.plans.queries import QUERIES
-from quayside.session import dealt_by
+from quayside.session import dealt_by, planned_bytes
 from tests.lines_fixture import make_lines
 
 SF = "/root/testdata/sf0.01"
@@ -77,3 +77,15 @@ def test_tasks_by_order_grow_with_the_files(spark):
     assert parts(1000 << 20) == 1000 and parts(6000 << 20) == 6000 and parts(1 << 20) == least
     plan = b.order_lines(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and len(re.findall(r"SortMergeJoin", plan)) == 1
+
+
+@tables
+@pytest.mark.parametrize("name, wide", [("windowed_distinct", 4), ("rank_ties", 2)])
+def test_lines_are_dealt_to_tasks_that_grow_with_the_files_and_not_again(spark, monkeypatch, name, wide):
+    monkeypatch.setattr(b, "ORDER_PARTITION_BYTES", 1 << 15)
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\((.*), (\d+)\), (\w+)", plan)
+    tasks = -(-planned_bytes(b.table(spark, SF, "lineitem")) // (1 << 15))
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(dealt) == wide and {(int(n), why) for _, n, why in dealt} == {(tasks, "REPARTITION_BY_NUM")}

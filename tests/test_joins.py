@@ -97,6 +97,15 @@ def test_windowed_distinct_like_the_plain_version(spark):
     assert "Window" not in plan and "collect_" not in plan  # no window over the key's rows, no set in a row
 
 
+def test_windowed_distinct_without_null_keys(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, None, 3), (2, None, 4)], "k int, v string, i int")
+    out = count_distinct_over(df, ["k"], "v", "kinds", "n", null_keys=False)
+    assert sorted((r.i, r.kinds, r.n) for r in out.collect()) == [(1, 1, 2), (2, 1, 2), (3, 1, 2), (4, 0, 0)]
+    null = df.union(spark.createDataFrame([(None, "a", 5)], df.schema))
+    with pytest.raises(Exception, match="key of count_distinct_over is NULL"):
+        count_distinct_over(null, ["k"], "v", "kinds", null_keys=False).collect()
+
+
 def test_most_frequent_keeps_ties(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "b"), (1, "c"), (2, None)], "k int, v string")
     assert sorted(tuple(r) for r in most_frequent(df, ["k"], ["v"], "n").collect()) == [(1, "a", 2), (1, "b", 2), (2, None, 1)]
