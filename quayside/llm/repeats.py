@@ -9,14 +9,17 @@ A byte goes if a ``length``-byte string that covers it also starts earlier.
 2. Copies.  Phrases meet by anchor.  Every phrase that equals an earlier one is
    repeated whole.  Tasks first settle copies among their own phrases, so a
    passage that a third of the rows share sends few of them on.
-3. Index.  Only anchors with differing phrases can hide more: one copy of each
-   of their phrases is fetched.  A task gathers whole anchors to a few MB and
+3. Index.  Only differing phrases of one anchor can hide more.  A window they share
+   reaches half of what it has beside the anchor to the left of it or more than that to the
+   right, so they agree in a hash of one of these sides (``sides``): the others, which a frequent
+   word or two bring together and whose number grows faster than the input, end here.  One copy of each
+   phrase that is left is fetched.  A task gathers whole anchors to a few MB and
    builds a run-compressed Burrows-Wheeler transform of them, keeping at each
    run's start the text position, that of the previous run's end and the length
    that both share.  Streaming through the text, the matching statistic of any
    position and the place of its match follow from the last sample before it.
    Matches of ``length`` or more link windows; all but a group's first go.
-   An anchor with more than ``MANY`` phrases is settled by digests of its windows
+   An anchor with more than ``MANY`` phrases left is settled by digests of its windows
    instead, counted before the shuffle, so that no task gets it whole.
 4. Marks are gathered by document and joined back.
 
@@ -41,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,13 +90,39 @@ def window_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - size)], x[width - size:]) if width > size else x
 
 
+def sides(h: np.ndarray, a: np.ndarray, start: np.ndarray, n: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """32 bits of hash of the anchor with what is left of it, and 32 with what is right; a side without the bytes is 0.
+
+    A window has ``length - gram`` bytes beside its anchor: half of them are left of it, or more than the other half right.
+    So phrases of one anchor that share a window have a side in common that is not 0.  ``h``: hashes of strings of a
+    power of two, of which two cover a side.
+    """
+    left = (length - gram + 1) // 2
+    right = length - gram - left + 1
+    part = power(gram + min(left, right))
+
+    def side(at: np.ndarray, size: int, has: np.ndarray) -> np.ndarray:
+        at = np.where(has, at, 0)
+        both = mix(h[at], h[at + size - part]) >> np.uint64(32)
+        return np.where(has, both | np.uint64(1), np.uint64(0))
+
+    lefts = side(a - left, left + gram, a - start >= left)
+    rights = side(a, right + gram, start + n - 1 + length >= a + gram + right)
+    return (lefts << np.uint64(32)) | rights
+
+
+def power(size: int) -> int:
+    """The greatest power of two up to ``size``."""
+    return 1 << (size.bit_length() - 1)
+
+
 def phrases(buf: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Start, windows, anchor hash and phrase hash of each phrase, for windows that start in any [first, last)."""
+    """Start, windows, anchor hash, phrase hash and sides of each phrase, for windows that start in any [first, last)."""
     gram = GRAM if length >= 2 * GRAM else 1 << max(0, (length // 2).bit_length() - 1)
-    wide = 1 << (length.bit_length() - 1)
+    wide, part = power(length), power(gram + (length - gram + 1) // 2)
     if not len(first) or len(buf) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(2)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
-    h = grams(buf, (gram, wide))
+        return tuple(np.zeros(0, np.int64) for _ in range(2)) + tuple(np.zeros(0, np.uint64) for _ in range(3))
+    h = grams(buf, (gram, wide, part))
     key = (h[gram] & ~PLACE) | np.arange(len(h[gram]), dtype=np.uint64)
     anchor = (window_min(key, length - gram + 1) & PLACE).astype(np.int64)
     step = np.zeros(len(anchor) + 1, np.int8)
@@ -108,17 +138,18 @@ def phrases(buf: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -
     digest = mix(n.astype(np.uint64), (a - start).astype(np.uint64))
     for k in range(4):
         digest = mix(digest, h[wide][start + room * k // 3])
-    return start, n, h[gram][a], digest
+    return start, n, h[gram][a], digest, sides(h[part], a, start, n, length, gram)
 
 
-PHRASE = ["copy", "anchor", "phrase", "doc", "h", "g", "start", "n"]
+#: ``sides`` is 0 of copies only; ``span``: start and number of windows, 32 bits each
+PHRASE = ["anchor", "phrase", "sides", "doc", "h", "g", "span"]
 
 
 def settle(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """Of a task's phrases (anchor, phrase, doc, h, g, start, n): copies of an earlier one are marked and joined up."""
-    anchor, phrase, doc, h, g, start, n = cols
+    """Of a task's phrases (anchor, phrase, sides, doc, h, g, start, n): copies of an earlier one are marked and joined up."""
+    anchor, phrase, side, doc, h, g, start, n = cols
     o = np.lexsort((start, g, h, doc, phrase, anchor))
-    anchor, phrase, doc, h, g, start, n = (x[o] for x in (anchor, phrase, doc, h, g, start, n))
+    anchor, phrase, side, doc, h, g, start, n = (x[o] for x in (anchor, phrase, side, doc, h, g, start, n))
     new = np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(phrase) != 0)))
     lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
     copy = (doc != doc[lead]) | (h != h[lead]) | (g != g[lead]) | (start != start[lead])
@@ -134,7 +165,7 @@ def settle(cols: list[np.ndarray]) -> list[np.ndarray]:
         anchor = anchor.copy()  # spreads them: they need meet no one
         anchor[c] = mix(doc[c].astype(np.uint64), start[c].astype(np.uint64)).view(np.int64)
     k = np.concatenate((np.flatnonzero(~copy), c))
-    return [copy[k], anchor[k], phrase[k], doc[k], h[k], g[k], start[k], n[k]]
+    return [anchor[k], phrase[k], np.where(copy, 0, side)[k], doc[k], h[k], g[k], (start[k] << 32) | n[k]]
 
 
 def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
@@ -147,10 +178,10 @@ def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
             sizes = np.array([len(p[3]) for p in parts], np.int64)
             first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             buf = np.frombuffer(b"".join([p[3] for p in parts]), np.uint8)
-            start, n, anchor, phrase = phrases(buf, first, first + sizes - length + 1, length)
+            start, n, anchor, phrase, side = phrases(buf, first, first + sizes - length + 1, length)
             own = np.searchsorted(first, start, side="right") - 1
             doc, h, g, off = (np.array([p[i] for p in parts], np.int64)[own] for i in (0, 1, 2, 4))
-            held.append([anchor.view(np.int64), phrase.view(np.int64), doc, h, g, start - first[own] + off, n])
+            held.append([*(x.view(np.int64) for x in (anchor, phrase, side)), doc, h, g, start - first[own] + off, n])
 
         def send() -> pa.RecordBatch:
             cols = settle([np.concatenate(x) for x in zip(*held)])
@@ -175,7 +206,7 @@ def cut_phrases(docs: DataFrame, length: int) -> DataFrame:
             yield send()
 
     return docs.select("doc", "h", "g", "text").mapInArrow(
-        run, "copy boolean, anchor long, phrase long, doc long, h long, g long, start long, n long")
+        run, ", ".join(f"{x} long" for x in PHRASE))
 
 
 def dense(key: np.ndarray) -> np.ndarray:
@@ -254,8 +285,12 @@ def repeated_windows(text: np.ndarray, left: np.ndarray, length: int) -> np.ndar
     return np.flatnonzero(least[to] != at)
 
 
+MARK = ["doc", "h", "g", "start", "stop", "bytes"]
+
+
 def index_marks(cut: DataFrame, length: int) -> DataFrame:
-    """Marks (doc, h, g, start, stop) in phrases (anchor, doc, h, g, start, bytes), by one index for each few MB of whole anchors."""
+    """Marks (doc, h, g, start, stop, no bytes) in phrases (key, doc, h, g, start, n, crowded, bytes), by one index for each few
+    MB of whole keys.  Phrases without bytes are copies and marked whole; crowded ones come back with their bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(rows: list[tuple]) -> pa.RecordBatch:
             rows = sorted({r[1:5]: r for r in rows}.values(), key=lambda r: r[1:5])  # rows that repeat bring a phrase twice
@@ -271,28 +306,35 @@ def index_marks(cut: DataFrame, length: int) -> DataFrame:
             z = np.append(a[1:], len(at)) - 1 if len(a) else a
             o = own[a]
             shift = start[o] - (stop - sizes)[o]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[o], h[o], g[o], at[a] + shift, at[z] + shift + length)],
-                                              ["doc", "h", "g", "start", "stop"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[o], h[o], g[o], at[a] + shift, at[z] + shift + length)]
+                                              + [pa.nulls(len(o), pa.binary())], MARK)
 
         rows: list[tuple] = []
-        size, anchor = 0, None
+        size, key = 0, None
         for b in batches:
-            for r in zip(*[b[c].to_pylist() for c in ("anchor", "doc", "h", "g", "start", "bytes")]):
-                if r[0] != anchor and size >= INDEXED:
+            past = pc.or_(pc.is_null(b["bytes"]), b["crowded"])
+            done = b.filter(past)
+            if len(done):
+                stop = pc.add(pc.add(done["start"], done["n"]), length - 1)
+                yield pa.RecordBatch.from_arrays([*(done[c] for c in MARK[:4]), stop, done["bytes"].cast(pa.binary())], MARK)
+            b = b.filter(pc.invert(past))
+            for r in zip(*[b[c].to_pylist() for c in ("key", "doc", "h", "g", "start", "bytes")]):
+                if r[0] != key and size >= INDEXED:
                     yield work(rows)
                     rows, size = [], 0
-                anchor = r[0]
+                key = r[0]
                 rows.append(r)
                 size += len(r[5]) + 1
         if rows:
             yield work(rows)
 
-    dealt = cut.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("anchor", "doc", "h", "g", "start", "bytes").mapInArrow(run, "doc long, h long, g long, start long, stop long")
+    dealt = cut.repartition("key").sortWithinPartitions("key")
+    return dealt.select("key", "doc", "h", "g", "start", "n", "crowded", "bytes").mapInArrow(
+        run, "doc long, h long, g long, start long, stop long, bytes binary")
 
 
 def crowded_marks(cut: DataFrame, length: int) -> DataFrame:
-    """As ``index_marks``, for anchors with many phrases: every window by its digest."""
+    """Marks (doc, h, g, start, stop) in phrases (doc, h, g, start, bytes) of anchors with many: every window by its digest."""
     windows = F.transform(F.sequence(F.lit(0), F.length("bytes") - length), lambda i: F.struct(
         F.md5(F.substring(F.col("bytes"), i + 1, F.lit(length))).alias("digest"), (F.col("start") + i).alias("at")))
     rows = cut.select("doc", "h", "g", F.explode(windows).alias("w")).select("w.digest", F.struct("doc", "h", "g", "w.at").alias("p"))
@@ -311,26 +353,37 @@ def marks(docs: DataFrame, length: int = LENGTH, text: str = "text", many: int =
     """(doc, h, g, start, stop): byte ranges to remove, which may overlap."""
     rows = keyed(docs.select("doc_id", text), text).select(
         F.col("_doc").alias("doc"), F.col("_h").alias("h"), F.col("_g").alias("g"), F.col(text).alias("text"))
-    near, same = Window.partitionBy("copy", "anchor"), Window.partitionBy("copy", "anchor", "phrase")
-    place = F.struct("doc", "h", "g", "start")
-    met = (cut_phrases(rows, length).repartition("copy", "anchor")
-           .withColumn("first", F.min(place).over(same)).withColumn("copy", F.col("copy") | (place != F.col("first")))
-           .withColumn("open", F.min("phrase").over(near) != F.max("phrase").over(near))
-           .filter("copy or open").select("copy", "anchor", "doc", "h", "g", "start", "n"))
-    met = C.materialise(met, "phrases")
-    whole = met.filter("copy").select("doc", "h", "g", "start", (F.col("start") + F.col("n") + length - 1).alias("stop"))
-    wanted = met.filter("not copy").distinct()
-    counts = wanted.groupBy("anchor").count().filter(F.col("count") > many)
-    crowd = C.materialise(counts.select("anchor", F.lit(True).alias("crowded")), "crowded")
-    asked = (wanted.join(crowd, "anchor", "left").groupBy("doc", "h", "g")
-             .agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("asked")))
-    one = rows.withColumn("bytes", F.col("text").cast("binary")).join(asked, ["doc", "h", "g"])
-    cut = (one.select("doc", "h", "g", "bytes", F.explode("asked").alias("a"))
-           .select("a.anchor", "doc", "h", "g", "a.start", "a.crowded",
-                   F.substring("bytes", F.col("a.start").cast("int") + 1, F.col("a.n").cast("int") + length - 1).alias("bytes")))
-    cut = C.materialise(cut, "cut")
-    return whole.union(index_marks(cut.filter("crowded is null"), length)).union(
-        crowded_marks(cut.filter("crowded"), length))
+    asked = C.materialise(asked_phrases(cut_phrases(rows, length), many), "phrases")  # its shuffle can go before texts are dealt
+    cut = asked.join(
+        rows.select("doc", "h", "g", F.col("text").cast("binary").alias("raw")), ["doc", "h", "g"])
+    alone = F.xxhash64("doc", "h", "start")  # copies and phrases of crowded anchors need meet no one
+    cut = cut.select(
+        F.when(F.col("copy") | F.col("crowded"), alone).otherwise(F.col("anchor")).alias("key"), "doc", "h", "g", "start", "n", "crowded",
+        F.when(~F.col("copy"), F.substring("raw", F.col("start").cast("int") + 1, F.col("n").cast("int") + length - 1)).alias("bytes"))
+    found = C.materialise(index_marks(cut, length), "marks")
+    return found.filter("bytes is null").drop("bytes").union(crowded_marks(found.filter("bytes is not null"), length))
+
+
+def asked_phrases(cut: DataFrame, many: int) -> DataFrame:
+    """(copy, crowded, anchor, doc, h, g, start, n) of phrases: all that repeat an earlier one, and of the others, one for each
+    phrase, those with a side in common with another of their anchor; crowded: beyond ``many`` of the anchor.
+
+    One shuffle: all is by anchor, and rows sorted for one step serve the next where they can.
+    """
+    near, same = Window.partitionBy("anchor"), Window.partitionBy("anchor", "phrase").orderBy("doc", "h", "g", "span")
+    low = F.lit((1 << 32) - 1)
+    others = F.sum(F.when(F.col("copy"), 0).otherwise(1))
+    met = (cut.repartition("anchor").withColumns({"rank": F.rank().over(same), "row": F.row_number().over(same)})
+           .withColumn("copy", (F.col("sides") == 0) | (F.col("rank") > 1))
+           .filter("copy or row = 1")  # rows that repeat bring a phrase twice
+           .withColumn("others", others.over(near)).filter("copy or others > 1")
+           .withColumns({"left": F.shiftrightunsigned("sides", 32), "right": F.col("sides").bitwiseAND(low)})
+           .withColumn("lefts", others.over(Window.partitionBy("anchor", "left")))
+           .withColumn("rights", others.over(Window.partitionBy("anchor", "right")))
+           .filter("copy or left != 0 and lefts > 1 or right != 0 and rights > 1")
+           .withColumn("others", others.over(near)))
+    return met.select("copy", (~F.col("copy") & (F.col("others") > many)).alias("crowded"), "anchor", "doc", "h", "g",
+                      F.shiftrightunsigned("span", 32).alias("start"), F.col("span").bitwiseAND(low).alias("n"))
 
 
 def with_marks(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
